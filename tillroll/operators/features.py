@@ -2,7 +2,7 @@
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import exact_sum, is_missing, is_usable_line, line_value
@@ -57,19 +57,19 @@ def build_rfm(
     Without ``as_of`` recency counts back from the last day in the data. The
     totals are then kept in the shared folder first: the last day and the rows
     both come from that small table, and the transactions are read only once.
+    The window is a range of plain dates, which reaches the scan of that table.
     """
     totals = customer_totals(cleaned)
     if as_of is None:
         totals = materialize(totals, "customer-totals")
-        snapshot = totals.agg(F.max("last_date").alias("last_day")).scalar()
-    else:
-        snapshot = F.lit(as_of)
-    return totals.select(
+        as_of = totals.agg(F.max("last_date").alias("last_day")).first()["last_day"]
+    snapshot = F.lit(as_of).cast("date")
+    return totals.filter(F.col("last_date").between(F.date_sub(snapshot, recency_max_days), snapshot)).select(
         *CUSTOMER_KEYS,
         F.datediff(snapshot, F.col("last_date")).alias("recency"),
         "frequency",
         "monetary",
-    ).filter(F.col("recency").between(0, recency_max_days))
+    )
 
 
 def top_spenders(rfm: DataFrame, top: int = 10) -> DataFrame:
@@ -81,14 +81,14 @@ def rfm_log(rfm: DataFrame) -> DataFrame:
 
 
 def rfm_scaled(rfm: DataFrame) -> DataFrame:
-    """Measures in units of their sample standard deviation, not centred; 0 where there is no spread."""
-    spread = rfm.agg(*[F.stddev_samp(m).alias(m) for m in MEASURES])
-
-    def scaled(measure: str) -> Column:
-        unit = spread.select(measure).scalar()
-        return F.when(unit == 0, F.lit(0.0)).otherwise(F.col(measure) / unit)
+    """Measures in units of their sample standard deviation, not centred; 0 where there is no spread.
 
-    return rfm.withColumns({f"{m}_scaled": scaled(m) for m in MEASURES})
+    The three deviations are fetched as numbers, as fitting a scaler does.
+    """
+    spread = rfm.agg(*[F.stddev_samp(m).alias(m) for m in MEASURES]).first()
+    return rfm.withColumns(
+        {f"{m}_scaled": F.col(m) / F.lit(spread[m]) if spread[m] else F.lit(0.0) for m in MEASURES}
+    )
 
 
 def rfm_describe(rfm: DataFrame) -> DataFrame:

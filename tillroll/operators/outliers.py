@@ -79,32 +79,25 @@ def trim_quantiles(
 
 
 def histogram(rfm: DataFrame, bins: int = 50) -> DataFrame:
-    """Equal-width bins per measure over its whole range, empty ones included; the last is closed."""
-    edges = rfm.agg(
-        *[F.min(m).cast("double").alias(f"{m}_min") for m in MEASURES],
-        *[F.max(m).cast("double").alias(f"{m}_max") for m in MEASURES],
-    )
-
-    def edge(name: str) -> Column:
-        return edges.select(name).scalar()
-
-    def low(measure: str) -> Column:
-        """Half a unit below a single value, as there is no width to divide."""
-        lowest, highest = edge(f"{measure}_min"), edge(f"{measure}_max")
-        return F.when(lowest == highest, lowest - 0.5).otherwise(lowest)
+    """Equal-width bins per measure over its whole range, empty ones included; the last is closed.
 
-    def width(measure: str) -> Column:
-        lowest, highest = edge(f"{measure}_min"), edge(f"{measure}_max")
-        return F.when(lowest == highest, F.lit(1.0)).otherwise(highest - lowest)
-
-    placed = rfm.select(
-        *[
-            F.least(F.floor((F.col(m) - low(m)) / width(m) * bins), F.lit(bins - 1)).cast("int").alias(m)
-            for m in MEASURES
-        ]
+    A measure with a single value has no range; its range is taken as one unit around the value.
+    """
+    lows, highs = (
+        rfm.agg(*[edge(m).cast("double").alias(m) for m in MEASURES]).first() for edge in (F.min, F.max)
     )
+    columns = []
+    for m in MEASURES:
+        low, high = lows[m], highs[m]
+        if low == high and low is not None:
+            low, high = low - 0.5, high + 0.5
+        place = F.floor((F.col(m) - F.lit(low)) / (F.lit(high) - F.lit(low)) * bins)
+        columns.append(F.least(place, F.lit(bins - 1)).cast("int").alias(m))
     counted = (
-        placed.unpivot([], MEASURES, "measure", "bin").groupBy("measure", "bin").agg(F.count(F.lit(1)).alias("filled"))
+        rfm.select(*columns)
+        .unpivot([], MEASURES, "measure", "bin")
+        .groupBy("measure", "bin")
+        .agg(F.count(F.lit(1)).alias("filled"))
     )
     # bins x 3 rows.
     grid = rfm.sparkSession.range(bins).select(

@@ -5,9 +5,12 @@ executors without a second pass over the raw data, and it is read back with
 column pruning and file statistics.
 """
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,11 +30,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, in a folder of its own that goes when the driver ends."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tillroll-{label}-{uuid.uuid4().hex}")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(folder)
-    files.deleteOnExit(folder)
+    atexit.register(_drop, files, folder)
     return f"{folder.toString()}/data"
 
 
+def _drop(files: JavaObject, folder: JavaObject) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        files.delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Run ``df`` once, keep the rows in the shared folder and read them back."""
     spark = df.sparkSession

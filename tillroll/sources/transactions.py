@@ -21,13 +21,12 @@ def read_transactions(
     header instead; it is meant for profiling. ``partitions`` redistributes the
     rows; splittable files do not need it.
     """
-    if fmt == "csv":
-        reader = spark.read.option("header", True)
-        df = reader.option("inferSchema", True).csv(path) if infer else reader.schema(TRANSACTIONS).csv(path)
-    elif fmt == "parquet":
-        df = spark.read.parquet(path) if infer else spark.read.schema(TRANSACTIONS).parquet(path)
-    else:
+    if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported format: {fmt}")
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("inferSchema", infer)
+    df = (reader if infer else reader.schema(TRANSACTIONS)).load(path)
     if infer:
         df = conform(df)
     return df.repartition(partitions) if partitions else df

@@ -9,39 +9,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The columns in use. Declared, as inferring them would take one job per table.
+_TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_returnflag string",
+}
+
+
 def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line, in the declared transaction layout."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
-    nation = table("nation").select("n_nationkey", "n_name")
-    buyers = (
-        table("customer")
-        .select("c_custkey", "c_nationkey")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("n_name").alias("buyer_nation"))
-    )
-    sellers = (
-        table("supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("seller_nation"))
-    )
-    # Customer and nation join at the coarser grain of orders, before the lines.
+    buyer_nation = table("nation").select(F.col("n_nationkey").alias("b_key"), F.col("n_name").alias("buyer_nation"))
+    seller_nation = table("nation").select(F.col("n_nationkey").alias("s_key"), F.col("n_name").alias("seller_nation"))
+    # Customers join at the coarser grain of orders, before the lines.
     orders = (
         table("orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_custkey", "o_orderdate", "buyer_nation")
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(buyer_nation, F.col("c_nationkey") == F.col("b_key"))
     )
-    parts = table("part").select("p_partkey", "p_name", "p_retailprice")
+    # From here on the right sides are plain tables, whose sizes Spark knows from their files.
     lines = (
         table("lineitem")
-        .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(seller_nation, F.col("s_nationkey") == F.col("s_key"))
     )
 
     order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")

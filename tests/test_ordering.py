@@ -11,7 +11,7 @@ from tillroll.functions.ordering import exact_quantiles, with_global_rank
 
 
 def quantiles(df, columns, ps):
-    return {(r["measure"], r["probability"]): r["value"] for r in exact_quantiles(df, columns, ps).collect()}
+    return {(r["measure"], r["probability"]): r["value"] for r in exact_quantiles(df, columns, ps, rows_per_slot=30).collect()}
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -38,7 +38,7 @@ def test_global_rank_and_running_sum(spark, n):
     rng = random.Random(n)
     rows = [(7 if rng.random() < 0.5 else rng.randint(0, 50), i) for i in range(n)]
     df = spark.createDataFrame(rows, "v int, id int").repartition(6)
-    found = with_global_rank(df, [F.desc("v"), F.col("id")], {"sum": F.col("v").cast("bigint")}).collect()
+    found = with_global_rank(df, [F.desc("v"), F.col("id")], {"sum": F.col("v").cast("bigint")}, rows_per_slot=150).collect()
     expected, running = [], 0
     for rank, (v, i) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])), 1):
         running += v
@@ -46,10 +46,18 @@ def test_global_rank_and_running_sum(spark, n):
     assert sorted(map(tuple, found), key=lambda r: r[2]) == expected
 
 
+def test_slots_are_not_sent_through_a_hash(spark):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    ranked = with_global_rank(df, [F.col("v"), F.col("id")], rows_per_slot=100)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    top = plan[: plan.index("BroadcastExchange")]
+    assert "shufflepartitionidpassthrough" in top and "hashpartitioning" not in top
+
+
 def test_equal_values_are_spread_over_slots(spark):
     """One value on all rows must not end in one partition."""
     from tillroll.functions.ordering import _place
 
     df = spark.range(4000).select(F.lit(1).alias("v"), "id")
-    sizes = [r["count"] for r in _place(df, [F.col("v"), F.col("id")], "test").groupBy("_slot").count().collect()]
+    sizes = [r["count"] for r in _place(df, [F.col("v"), F.col("id")], 4, "test").groupBy("_slot").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000

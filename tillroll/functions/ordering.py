@@ -14,27 +14,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillroll.functions.sizing import partitions_for
 from tillroll.scratch import materialize
 
 _SLOT = "_slot"
+ROWS_PER_SLOT = 100_000
 
 
-def _place(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _place(df: DataFrame, order: Sequence[Column], slots: int, label: str) -> DataFrame:
     placed = df.repartitionByRange(slots, *order).withColumn(_SLOT, F.spark_partition_id())
     return materialize(placed, label)
 
 
 def with_global_rank(
-    df: DataFrame, order: Sequence[Column], totals: dict[str, Column] | None = None
+    df: DataFrame,
+    order: Sequence[Column],
+    totals: dict[str, Column] | None = None,
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Add ``rank`` (from 1) and ``row_total``; per total its ``_running`` and ``_total`` sums.
 
     ``order`` must end in a unique key: it makes the ranks definite, and it lets
-    the range partitioning split runs of equal values.
+    the range partitioning split runs of equal values. Each slot is ordered by a
+    task of its own.
     """
     totals = totals or {}
-    placed = _place(df, order, "ranked")
+    slots = partitions_for(df, rows_per_slot)
+    placed = _place(df, order, slots, "ranked")
     sizes = placed.groupBy(_SLOT).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_{n}") for n, c in totals.items()]
     )
@@ -49,7 +55,7 @@ def with_global_rank(
     )
     inside = Window.partitionBy(_SLOT).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.join(F.broadcast(starts), _SLOT).select(
+    return placed.join(F.broadcast(starts), _SLOT).repartitionById(slots, _SLOT).select(
         *df.columns,
         (F.row_number().over(inside) + F.col("_rows_before")).alias("rank"),
         F.col("_rows_total").alias("row_total"),
@@ -59,7 +65,10 @@ def with_global_rank(
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (measure, probability, value).
 
@@ -73,12 +82,13 @@ def exact_quantiles(
     counted = values.filter(F.col("value").isNotNull()).groupBy("measure", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    placed = _place(counted, [F.col("measure"), F.col("value")], "quantiles")
+    slots = partitions_for(df, rows_per_slot)
+    placed = _place(counted, [F.col("measure"), F.col("value")], slots, "quantiles")
 
     # At most (number of columns) x (number of partitions) rows.
     by_measure = Window.partitionBy("measure")
     before = by_measure.orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    slots = placed.groupBy("measure", _SLOT).agg(F.sum("n").alias("n")).select(
+    bounds = placed.groupBy("measure", _SLOT).agg(F.sum("n").alias("n")).select(
         "measure",
         _SLOT,
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
@@ -88,7 +98,7 @@ def exact_quantiles(
     # Two wanted ranks per column and probability, each inside one partition.
     position = (F.col("total") - 1) * F.col("probability")
     wanted = (
-        slots.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+        bounds.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumn("fraction", position - F.floor(position))
         .withColumn("edge", F.explode(F.array(F.lit("low"), F.lit("high"))))
         .withColumn("wanted_rank", F.when(F.col("edge") == "low", F.floor(position)).otherwise(F.ceil(position)))

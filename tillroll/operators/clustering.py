@@ -12,8 +12,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.sizing import partitions_for
 from tillroll.schema import CUSTOMER_KEYS, MEASURES
 
+ROWS_PER_PARTITION = 50_000
 FEATURES = "features"
 SCALED = "scaled_features"
 
@@ -30,10 +32,9 @@ def kmeans(k: int, seed: int = 42, max_iter: int = 20) -> KMeans:
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=SCALED, predictionCol="prediction")
 
 
-def stable_layout(rfm: DataFrame, partitions: int | None = None) -> DataFrame:
+def stable_layout(rfm: DataFrame) -> DataFrame:
     """Fix which row lies where: K-means sums and its starting points depend on it."""
-    n = partitions or int(rfm.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rfm.repartition(n, *CUSTOMER_KEYS).sortWithinPartitions(*CUSTOMER_KEYS)
+    return rfm.repartition(partitions_for(rfm, ROWS_PER_PARTITION), *CUSTOMER_KEYS).sortWithinPartitions(*CUSTOMER_KEYS)
 
 
 def fit_segments(train: DataFrame, k: int, seed: int = 42, max_iter: int = 20) -> PipelineModel:

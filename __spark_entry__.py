@@ -116,13 +116,18 @@ def _kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _select_k(spark: SparkSession, sf: str) -> DataFrame:
-    scores = clustering.sweep_k(outliers.remove_outliers(rfm(spark, sf)), parallelism=4)
+    scores = clustering.sweep_k(outliers.remove_outliers(rfm(spark, sf)), parallelism=8)
     return scores.withColumn("selected", F.col("k") == clustering.choose_k(scores))
 
 
 def _k_sweep(spark: SparkSession, sf: str) -> DataFrame:
     trimmed = outliers.trim_quantiles(rfm(spark, sf), relative_error=0.01)
-    return clustering.sweep_k(features.rfm_log(trimmed), range(2, 10), max_iter=50, parallelism=4)
+    return clustering.sweep_k(features.rfm_log(trimmed), range(2, 10), max_iter=50, parallelism=8)
+
+
+def _pca_projection(spark: SparkSession, sf: str) -> DataFrame:
+    found = clustering.pca_projection(rfm(spark, sf))
+    return _rounded(_rounded(found, 2, "pc1", "pc2"), 6, "pc1_ratio", "pc2_ratio")
 
 
 def _event_revenue(df: DataFrame, late_by: str | None = None) -> DataFrame:
@@ -230,7 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kmeans_segments": _kmeans_segments,
         "select_k": _select_k,
         "k_sweep": _k_sweep,
-        "pca_projection": lambda s, d: clustering.pca_projection(rfm(s, d)),
+        "pca_projection": _pca_projection,
         # declared outcomes
         "top20_customers": lambda s, d: value.top_customers(rfm(s, d)),
         "pareto_curve": lambda s, d: value.pareto_curve(rfm(s, d)),

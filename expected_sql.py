@@ -151,6 +151,54 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE frequency BETWEEN (SELECT quantile_cont(cast(frequency AS double), 0.01) FROM trim_recency)
                             AND (SELECT quantile_cont(cast(frequency AS double), 0.99) FROM trim_recency)""",
     ),
+    # Principal components by power iteration on the covariance matrix, the second after taking out the first.
+    "cov": (
+        ("rfm",),
+        """
+        SELECT avg(recency) AS ar, avg(frequency) AS af, avg(monetary) AS am, var_samp(recency) AS rr,
+               var_samp(frequency) AS ff, var_samp(monetary) AS mm, covar_samp(recency, frequency) AS rf,
+               covar_samp(recency, monetary) AS rm, covar_samp(frequency, monetary) AS fm FROM rfm""",
+    ),
+    "steps1": (
+        ("cov",),
+        """
+        SELECT 0 AS i, cast(1 AS double) AS x, cast(1 AS double) AS y, cast(1 AS double) AS z
+        UNION ALL
+        SELECT i + 1, a / sqrt(a*a + b*b + c*c), b / sqrt(a*a + b*b + c*c), c / sqrt(a*a + b*b + c*c)
+        FROM (SELECT i, rr*x + rf*y + rm*z AS a, rf*x + ff*y + fm*z AS b, rm*x + fm*y + mm*z AS c
+              FROM steps1, cov WHERE i < 60)""",
+    ),
+    "first_axis": (
+        ("steps1",),
+        """
+        SELECT x, y, z, rr*x*x + ff*y*y + mm*z*z + 2 * (rf*x*y + rm*x*z + fm*y*z) AS size
+        FROM steps1, cov WHERE i = 60""",
+    ),
+    "rest": (
+        ("first_axis",),
+        """
+        SELECT rr - size*x*x AS rr, ff - size*y*y AS ff, mm - size*z*z AS mm, rf - size*x*y AS rf,
+               rm - size*x*z AS rm, fm - size*y*z AS fm FROM cov, first_axis""",
+    ),
+    "steps2": (
+        ("rest",),
+        """
+        SELECT 0 AS i, cast(1 AS double) AS x, cast(1 AS double) AS y, cast(0 AS double) AS z
+        UNION ALL
+        SELECT i + 1, a / sqrt(a*a + b*b + c*c), b / sqrt(a*a + b*b + c*c), c / sqrt(a*a + b*b + c*c)
+        FROM (SELECT i, rr*x + rf*y + rm*z AS a, rf*x + ff*y + fm*z AS b, rm*x + fm*y + mm*z AS c
+              FROM steps2, rest WHERE i < 60)""",
+    ),
+    "axes": (
+        ("steps2",),
+        """
+        SELECT n, x * flip AS x, y * flip AS y, z * flip AS z, size FROM (
+            SELECT *, sign(CASE greatest(abs(x), abs(y), abs(z)) WHEN abs(x) THEN x WHEN abs(y) THEN y ELSE z END) AS flip
+            FROM (SELECT 1 AS n, * FROM first_axis
+                  UNION ALL
+                  SELECT 2, x, y, z, rr*x*x + ff*y*y + mm*z*z + 2 * (rf*x*y + rm*x*z + fm*y*z)
+                  FROM steps2, rest WHERE i = 60))""",
+    ),
     "day_revenue": (
         (),
         """
@@ -173,7 +221,7 @@ def _query(needs: str, select: str) -> str:
     for name in needs.split():
         add(name)
     parts = ",\n".join(f"{name} AS ({PARTS[name][1]})" for name in order)
-    return f"WITH {parts}\n{select}"
+    return f"WITH RECURSIVE {parts}\n{select}"
 
 
 def _mean(column: str) -> str:
@@ -426,6 +474,14 @@ def expected_sql() -> dict[str, str]:
         "segment_profile_norm": q(
             "labeled", f"SELECT prediction, {norm} FROM (SELECT prediction, {means} FROM labeled GROUP BY prediction)"
         ),
+        "pca_projection": q(
+            "axes",
+            """SELECT customer_id, country,
+                      round((recency - ar) * p.x + (frequency - af) * p.y + (monetary - am) * p.z, 2) AS pc1,
+                      round((recency - ar) * s.x + (frequency - af) * s.y + (monetary - am) * s.z, 2) AS pc2,
+                      round(p.size / (rr + ff + mm), 6) AS pc1_ratio, round(s.size / (rr + ff + mm), 6) AS pc2_ratio
+               FROM rfm, cov, (SELECT * FROM axes WHERE n = 1) p, (SELECT * FROM axes WHERE n = 2) s""",
+        ),
         # declared outcomes
         "top20_customers": q("ranked", "SELECT rank, customer_id, country, monetary FROM ranked WHERE rank <= cut"),
         "pareto_curve": q(

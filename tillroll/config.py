@@ -29,7 +29,7 @@ class SegmentationConfig:
     seed: int = 42
     max_iter: int = 20
     train_percent: int = 80
-    sweep_parallelism: int = 1
+    sweep_parallelism: int = 4
 
     segment_names: tuple[str, ...] = SEGMENT_NAMES
     export_segments: tuple[str, ...] = ("Champions", "Loyal")

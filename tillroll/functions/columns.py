@@ -3,8 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Wide enough for any currency amount with four decimals; sums widen by ten digits.
-MONEY = "decimal(18,4)"
+# Amounts of one line, and of one customer, who may hold a third of all revenue. Sums widen by ten digits.
+LINE_MONEY = "decimal(18,4)"
+CUSTOMER_MONEY = "decimal(28,4)"
 FLOATING = ("float", "double")
 
 
@@ -29,13 +30,14 @@ def line_value() -> Column:
     return F.col("quantity") * F.col("price")
 
 
-def exact_sum(amount: Column) -> Column:
+def exact_sum(amount: Column, kind: str = LINE_MONEY) -> Column:
     """Sum in decimals, so that the result does not depend on the order of the rows."""
-    return F.sum(amount.cast(MONEY))
+    return F.sum(amount.cast(kind))
 
 
 def exact_mean(amount: Column) -> Column:
-    return exact_sum(amount).cast("double") / F.count(amount)
+    """Mean over customers."""
+    return exact_sum(amount, CUSTOMER_MONEY).cast("double") / F.count(amount)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import exact_sum, is_missing, is_usable_line, line_value
+from tillroll.functions.columns import exact_mean, exact_sum, is_missing, is_usable_line, line_value
 from tillroll.schema import CUSTOMER_KEYS, MEASURES
 from tillroll.scratch import materialize
 
@@ -99,7 +99,7 @@ def rfm_describe(rfm: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(m).alias("measure"),
                 F.count(m).alias("n"),
-                F.round(exact_sum(F.col(m)).cast("double") / F.count(m), 4).alias("mean"),
+                F.round(exact_mean(F.col(m)), 4).alias("mean"),
                 F.round(F.stddev_samp(m), 4).alias("stddev"),
                 F.min(m).cast("double").alias("min"),
                 F.max(m).cast("double").alias("max"),

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.config import SEGMENT_NAMES
-from tillroll.functions.columns import exact_mean, exact_sum, percent
+from tillroll.functions.columns import CUSTOMER_MONEY, exact_mean, exact_sum, percent
 from tillroll.functions.ordering import with_global_rank
 from tillroll.schema import CUSTOMER_KEYS
 
@@ -23,7 +23,7 @@ def top_customers(rfm: DataFrame, top_percent: int = 20) -> DataFrame:
 
 def _ranked_spend(rfm: DataFrame) -> DataFrame:
     spend = rfm.select(*CUSTOMER_KEYS, "monetary")
-    return with_global_rank(spend, _by_spend(), {"spend": F.col("monetary").cast("decimal(18,2)")})
+    return with_global_rank(spend, _by_spend(), {"spend": F.col("monetary").cast(CUSTOMER_MONEY)})
 
 
 def pareto_curve(rfm: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def pareto(rfm: DataFrame, top_percent: int = 20, target_percent: int = 80) -> D
     """Revenue share of the top customers and whether it meets the target."""
     ranked = _ranked_spend(rfm)
     in_top = F.col("rank") <= F.ceil(F.col("row_total") * top_percent / 100)
-    spend = F.col("monetary").cast("decimal(18,2)")
+    spend = F.col("monetary").cast(CUSTOMER_MONEY)
     revenue, top_revenue = F.sum(spend).cast("double"), F.sum(F.when(in_top, spend)).cast("double")
     return ranked.agg(
         F.count(F.lit(1)).alias("customers"),
@@ -67,7 +67,7 @@ def segment_performance(labeled: DataFrame) -> DataFrame:
     customers = F.count(F.lit(1))
     return labeled.groupBy("segment").agg(
         customers.alias("customers"),
-        exact_sum(F.col("monetary")).cast("double").alias("revenue"),
+        exact_sum(F.col("monetary"), CUSTOMER_MONEY).cast("double").alias("revenue"),
         F.round(exact_mean(F.col("monetary")), 2).alias("avg_revenue"),
         F.round(exact_mean(F.col("frequency")), 4).alias("purchase_frequency"),
         F.round(percent(F.count_if(F.col("frequency") >= 2), customers), 4).alias("retention_pct"),

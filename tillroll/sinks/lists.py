@@ -41,6 +41,6 @@ def export_single_file(rows: DataFrame, path: str, max_rows: int = 1_000_000) ->
 
     Returns whether one file was written. No row is left out either way.
     """
-    small = rows.limit(max_rows + 1).count() <= max_rows
+    small = rows.count() <= max_rows
     (rows.coalesce(1) if small else rows).write.csv(path, header=True, mode="overwrite")
     return small

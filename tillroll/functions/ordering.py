@@ -73,8 +73,8 @@ def exact_quantiles(
     """Exact quantiles with linear interpolation: (measure, probability, value).
 
     Equal values are counted before anything is sorted, so a value held by many
-    rows is one row here. Only the partitions in which a wanted rank falls are
-    ordered in the end.
+    rows is one row here. The counts are kept, and ``df`` is read only once.
+    Only the partitions in which a wanted rank falls are ordered in the end.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "measure", "value"
@@ -82,7 +82,8 @@ def exact_quantiles(
     counted = values.filter(F.col("value").isNotNull()).groupBy("measure", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    slots = partitions_for(df, rows_per_slot)
+    counted = materialize(counted, "value-counts")
+    slots = partitions_for(counted, rows_per_slot)
     placed = _place(counted, [F.col("measure"), F.col("value")], slots, "quantiles")
 
     # At most (number of columns) x (number of partitions) rows.

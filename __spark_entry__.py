@@ -154,6 +154,14 @@ def _stream_csv_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return _settled(spark, per_day, revenue.write_complete, "csv-revenue")
 
 
+try:
+    from tillroll.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline can be left out
+    if missing.name not in ("tillroll.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Recency, frequency and spend per customer and country."""
     return rfm(spark, "/root/testdata/sf0.001")
@@ -247,8 +255,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_daily_revenue": lambda s, d: _settled(s, _event_stream(s, d), revenue.write_complete, "daily"),
         "stream_closed_days": lambda s, d: _settled(s, _event_stream(s, d, "1 day"), revenue.write_closed_days, "closed"),
         "stream_csv_revenue": _stream_csv_revenue,
+        **(llm_queries.queries() if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return expected_sql()
+    return {**expected_sql(), **(llm_queries.oracle_sql() if llm_queries else {})}

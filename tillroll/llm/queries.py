@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import packing, token_counts, token_files
+from tillroll.llm import packing, sharding, token_counts, token_files, toxicity
 from tillroll.scratch import scratch_path
 
 
@@ -16,6 +16,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+HELD_OUT = 2  # of crc32(doc_id) mod 4: these rows' labels are never learned
+
+
+def _held_out(column: str) -> Column:
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").filter(~_held_out("doc_id"))
+    found = toxicity.score(documents, toxicity.fit(documents, labels))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return found.select("doc_id", _held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select(
@@ -23,6 +38,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SHARDS = 40
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign(_table(spark, sf_dir, "documents"), SHARDS)
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -50,7 +81,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
+        "op5_sharding": op5_sharding,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
     }

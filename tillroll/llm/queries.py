@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import packing, sharding, token_counts, token_files, toxicity
+from tillroll.llm import packing, quality_rules, sharding, token_counts, token_files, toxicity
 from tillroll.scratch import scratch_path
 
 
@@ -54,6 +54,20 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_upper_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -84,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
         "op5_sharding": op5_sharding,
+        "op7_quality_rules": op7_quality_rules,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
     }

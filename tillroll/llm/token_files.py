@@ -30,17 +30,20 @@ from tillroll.scratch import scratch_path
 
 END_ID = 2
 BITS = 20  # frequencies sum to 2 ** BITS
-LANES = 512
-BLOCK_IDS = 1 << 17
+LANES = 1024
+BLOCK_IDS = 1 << 18
 CHECKPOINT_STEPS = 128
-ROWS_PER_SHARD = 50_000
+ROWS_PER_SHARD = 20_000
+MOST_SHARDS = 1 << 20  # one row each of what readers broadcast
 _LOW = np.uint64(1 << 31)
 _BITS, _WORD, _MASK = np.uint64(BITS), np.uint64(32), np.uint64((1 << BITS) - 1)
-_SHARD_FIELDS = "shard int, doc_id long, start long, ids binary"
+# A task's last row has no document but the counts of its ids: (id, count) pairs of 64-bit integers.
+_SHARD_FIELDS = "shard int, doc_id long, start long, ids binary, counts binary"
 _BLOCK_FIELDS = (
     "shard int, start long, doc_ids array<long>, lengths array<long>, n_ids long, lanes int, "
     "words binary, states binary, places array<long>, words_crc32 long, ids_crc32 long"
 )
+_SHARD_NAMES = ["shard", "doc_id", "start", "ids", "counts"]
 _DOCUMENT_FIELDS = "shard int, doc_id long, shard_start long, ids binary"
 
 
@@ -126,33 +129,36 @@ def decode(
 def _tokenized(path: str, end_id: int):
     end = id_bytes([end_id])
 
+    def rows(shard: int, doc_ids: pa.Array, starts: np.ndarray, ids: list, counts: list) -> pa.RecordBatch:
+        columns = [[shard] * len(ids), doc_ids, starts, ids, counts]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_SHARD_NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, shard, start = cached_tokenizer(path), TaskContext.get().partitionId(), 0
+        counts = np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 ids = [tokenizer.ids(text) + end for text in part.column(1).to_pylist()]
+                found = np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(counts))
+                found[: len(counts)] += counts
+                counts = found
                 sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
                 starts = start + np.cumsum(sizes) - sizes
                 start += int(sizes.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard] * len(ids), pa.int32()), part.column(0), pa.array(starts), pa.array(ids, pa.binary())],
-                    names=["shard", "doc_id", "start", "ids"],
-                )
+                yield rows(shard, part.column(0), starts, ids, [None] * len(ids))
+        used = np.flatnonzero(counts)
+        yield rows(shard, [None], np.array([start]), [None], [np.stack([used, counts[used]]).astype("<i8").tobytes()])
 
     return run
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(found) > len(counts):
-                counts = np.pad(counts, (0, len(found) - len(counts)))
-            counts[: len(found)] += found
-    ids = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts[ids])], names=["id", "n"])
+        for counts in batch.column(0).to_pylist():
+            ids, n = np.frombuffer(counts, "<i8").reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
 
 def _block(shard: int, start: int, doc_ids: list, parts: list[bytes], table: Table) -> dict:
@@ -227,6 +233,8 @@ def write_tokens(
     spark = documents.sparkSession
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     shards = max(spark.sparkContext.defaultParallelism, -(-rows.count() // rows_per_shard))
+    if shards > MOST_SHARDS:
+        raise ValueError("raise rows_per_shard: too many shards")
     ordered = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(shards, "doc_id", "row")
     ids = ordered.sortWithinPartitions("doc_id", "row").select("doc_id", "text").mapInArrow(_tokenized(path, end_id), _SHARD_FIELDS)
     kept = scratch_path(spark, "token-ids")
@@ -234,10 +242,11 @@ def write_tokens(
     stored = spark.read.schema(_SHARD_FIELDS).parquet(kept)
 
     # One row per id of the vocabulary at most, whatever the number of documents.
-    counted = stored.select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = stored.filter("counts is not null").select("counts").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     frequencies = make_table({row.id: row.n for row in counted.collect()})
     spark.createDataFrame(sorted(frequencies.items()), "id long, frequency long").coalesce(1).write.parquet(f"{folder}/table")
     shared = spark.sparkContext.broadcast(frequencies)
+    stored = stored.filter("ids is not null").select("shard", "doc_id", "start", "ids")
     blocks = stored.mapInArrow(_encoded(shared, block_ids), _BLOCK_FIELDS)
     blocks.write.option("compression", "uncompressed").partitionBy("shard").parquet(f"{folder}/blocks")
 
@@ -279,8 +288,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     blocks = spark.read.schema(_BLOCK_FIELDS).parquet(f"{folder}/blocks")
     fields = [field.split()[0] for field in _BLOCK_FIELDS.split(", ")]
     found = blocks.select(*fields).mapInArrow(_decoded(spark.sparkContext.broadcast(frequencies)), _DOCUMENT_FIELDS)
-    # One row per shard.
+    # One row per shard, MOST_SHARDS at most.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     offsets = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return found.join(offsets, "shard").select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "ids")
+    return found.join(F.broadcast(offsets), "shard").select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "ids")

@@ -12,7 +12,9 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
 from array import array
+from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
@@ -26,33 +28,26 @@ BYTE_LEVEL = re.compile(
 )
 # White space is no token here, so words are independent of it.
 WORD_LEVEL = re.compile(rf"[{LETTER}]+(?![^,.\t-\r ])|[^\t-\r ]+")
+SPACES = re.compile(f"[{SPACE}]{{2}}")
 PLAIN_WORD = re.compile(f" ?[{LETTER}]+")
-ENTRIES = 400_000
+ENTRIES = 300_000
+_WORD = "I" if array("I").itemsize == 4 else "L"
 
 
-class _Known(dict):
-    """Ids of a stretch as little-endian unsigned 32-bit integers; entries that fall out of use are dropped."""
+class _Cache(dict):
+    """Entries that fall out of use are dropped: what a full generation did not ask for again."""
 
-    def __init__(self, tokenizer: Tokenizer, lower: bool, entries: int) -> None:
+    def __init__(self, make: Callable[[str], bytes], entries: int) -> None:
         super().__init__()
-        self.tokenizer, self.lower, self.entries = tokenizer, lower, entries
-        self.model = tokenizer.model
-        self.letters = _byte_letters()
+        self.make, self.entries = make, entries
         self.older: dict[str, bytes] = {}
 
-    def __missing__(self, stretch: str) -> bytes:
-        ids = self.older.get(stretch)
-        if ids is None:
-            ids = id_bytes(self._merge(stretch))
-        self[stretch] = ids
-        return ids
-
-    def _merge(self, stretch: str) -> list[int]:
-        """A plain word is one piece, so it needs the model's merges only."""
-        if not PLAIN_WORD.fullmatch(stretch):
-            return self.tokenizer.encode(stretch, add_special_tokens=False).ids
-        raw = (stretch.lower() if self.lower else stretch).encode()
-        return [token.id for token in self.model.tokenize("".join(map(self.letters.__getitem__, raw)))]
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
 
     def turn(self) -> None:
         """Called between texts."""
@@ -70,10 +65,8 @@ def _byte_letters() -> list[str]:
 
 def id_bytes(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if packed.itemsize != 4:
-        packed = array("L", ids)
-    if array("H", [1]).tobytes() != b"\x01\x00":
+    packed = array(_WORD, ids)
+    if sys.byteorder == "big":
         packed.byteswap()
     return packed.tobytes()
 
@@ -102,9 +95,13 @@ class CachedTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.cut = _stretches(path)
+        self.front = " " if self.cut is BYTE_LEVEL else ""  # a space belongs to the word behind it
+        self.letters = _byte_letters()
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = _Known(self.tokenizer, self.cut is WORD_LEVEL, entries)
+        self.words = _Cache(self._word, entries)  # with the space in front of them
+        self.stretches = _Cache(self._merged, entries)
 
     def ids(self, text: str | None) -> bytes:
         """Ids of ``text`` (null: empty) as little-endian unsigned 32-bit integers."""
@@ -112,8 +109,32 @@ class CachedTokenizer:
             return b""
         if self.cut is None or any(special in text for special in self.special):
             return id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self.known.turn()
-        return b"".join(map(self.known.__getitem__, self.cut.findall(text)))
+        self.words.turn()
+        self.stretches.turn()
+        if self.front and SPACES.search(text):  # a run of white space is split by what is around it
+            return self._cut(text)
+        first, *rest = text.split(" ")
+        return self._cut(first) + b"".join(map(self.words.__getitem__, rest))
+
+    def _cut(self, text: str) -> bytes:
+        return b"".join(map(self.stretches.__getitem__, self.cut.findall(text)))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word, or of what else stands between two spaces."""
+        found = self.cut.findall(self.front + word)
+        if len(found) == 1:
+            return self._merged(found[0])
+        first = found[0][len(self.front) :] if found else ""
+        if not first:
+            return b"".join(map(self.stretches.__getitem__, found))
+        return self.words[first] + b"".join(map(self.stretches.__getitem__, found[1:]))
+
+    def _merged(self, stretch: str) -> bytes:
+        """A plain word is one piece, so it needs the model's merges only."""
+        if not PLAIN_WORD.fullmatch(stretch):
+            return id_bytes(self.tokenizer.encode(stretch, add_special_tokens=False).ids)
+        raw = (stretch if self.front else stretch.lower()).encode()
+        return id_bytes([token.id for token in self.model.tokenize("".join(map(self.letters.__getitem__, raw)))])
 
 
 @functools.cache

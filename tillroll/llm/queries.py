@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import packing, quality_rules, sharding, token_counts, token_files, toxicity
+from tillroll.llm import minhash, packing, quality_rules, sharding, token_counts, token_files, toxicity
 from tillroll.scratch import scratch_path
 
 
@@ -68,6 +68,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -99,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": op2_packing,
         "op5_sharding": op5_sharding,
         "op7_quality_rules": op7_quality_rules,
+        "op8_minhash": op8_minhash,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import minhash, packing, quality_rules, sharding, token_counts, token_files, toxicity
+from tillroll.llm import decontamination, minhash, packing, quality_rules, sharding, token_counts, token_files, toxicity
 from tillroll.scratch import scratch_path
 
 
@@ -38,6 +38,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 SHARDS = 40
 
 
@@ -101,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
+        "op3_decontamination": op3_decontamination,
         "op5_sharding": op5_sharding,
         "op7_quality_rules": op7_quality_rules,
         "op8_minhash": op8_minhash,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, minhash, packing, quality_rules, sharding, token_counts, token_files, toxicity
+from tillroll.llm import decontamination, html_text, minhash, packing, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 from tillroll.scratch import scratch_path
 
 
@@ -42,6 +42,25 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def grades(labels: DataFrame) -> DataFrame:
+    """Ratings from the labels: 0 for low quality, 1 for good but toxic texts, 2 for good ones."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    ratings = grades(_table(spark, sf_dir, "labels").filter(~_held_out("doc_id")))
+    found = quality_classifier.score(documents, quality_classifier.fit(documents, ratings))
+    return found.select(
+        "doc_id",
+        _held_out("doc_id").alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        (F.col("tail_probability") >= 0.5).alias("kept"),
+    )
+
+
 SHARDS = 40
 
 
@@ -58,6 +77,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -106,7 +130,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
         "op3_decontamination": op3_decontamination,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_sharding": op5_sharding,
+        "op6_html_text": op6_html_text,
         "op7_quality_rules": op7_quality_rules,
         "op8_minhash": op8_minhash,
         "op9_token_files": op9_token_files,

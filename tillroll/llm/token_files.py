@@ -33,6 +33,7 @@ BITS = 20  # frequencies sum to 2 ** BITS
 LANES = 1024
 BLOCK_IDS = 1 << 18
 CHECKPOINT_STEPS = 128
+COUNTING_TASKS = 32
 ROWS_PER_SHARD = 20_000
 MOST_SHARDS = 1 << 20  # one row each of what readers broadcast
 _LOW = np.uint64(1 << 31)
@@ -155,10 +156,15 @@ def _tokenized(path: str, end_id: int):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(0, np.int64)
     for batch in batches:
         for counts in batch.column(0).to_pylist():
             ids, n = np.frombuffer(counts, "<i8").reshape(2, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+            if len(ids) and ids[-1] >= len(total):
+                total = np.pad(total, (0, int(ids[-1]) + 1 - len(total)))
+            total[ids] += n
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
 
 def _block(shard: int, start: int, doc_ids: list, parts: list[bytes], table: Table) -> dict:
@@ -242,7 +248,7 @@ def write_tokens(
     stored = spark.read.schema(_SHARD_FIELDS).parquet(kept)
 
     # One row per id of the vocabulary at most, whatever the number of documents.
-    counted = stored.filter("counts is not null").select("counts").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = stored.filter("counts is not null").select("counts").coalesce(COUNTING_TASKS).mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     frequencies = make_table({row.id: row.n for row in counted.collect()})
     spark.createDataFrame(sorted(frequencies.items()), "id long, frequency long").coalesce(1).write.parquet(f"{folder}/table")
     shared = spark.sparkContext.broadcast(frequencies)

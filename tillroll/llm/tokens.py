@@ -121,6 +121,9 @@ class CachedTokenizer:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word, or of what else stands between two spaces."""
+        if word.isascii() and word.isalpha():  # its bytes are its letters, but for the space
+            shown = self.letters[0x20] + word if self.front else word.lower()
+            return id_bytes([token.id for token in self.model.tokenize(shown)])
         found = self.cut.findall(self.front + word)
         if len(found) == 1:
             return self._merged(found[0])

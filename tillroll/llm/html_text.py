@@ -46,7 +46,7 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(\bh
 _NAME_PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 LABEL = "data-label"
-SMOOTHING = 0.5
+SMOOTHING = 0.05
 
 
 class Page(NamedTuple):
@@ -77,7 +77,7 @@ def _names(tag: str, attributes: str) -> tuple[list[str], str | None, bool]:
 
 def parse(page: str) -> Page:
     """Read a page as browsers do in the main: raw text, void elements, implied ends and missing ones."""
-    parent, names, label, unseen, texts, links = [-1], [["tag:"]], [None], [False], [0], [0]
+    parent, names, label, unseen, texts, links = [-1], [[]], [None], [False], [0], [0]
     tags = [""]
     events: list[tuple[int, str] | None] = []
     stack = [0]
@@ -105,7 +105,7 @@ def parse(page: str) -> Page:
             size = len(text.strip())
             if size and not unseen[top]:
                 parent.append(top)
-                names.append(["text", "linked"] if in_link else ["text"])
+                names.append(["text"])
                 label.append(None)
                 unseen.append(False)
                 texts.append(size)
@@ -148,9 +148,12 @@ def parse(page: str) -> Page:
     for node in range(len(parent) - 1, 0, -1):
         texts[parent[node]] += texts[node]
         links[parent[node]] += links[node]
+    # Texts and inline elements go with the block they are in: only blocks bear evidence of size.
     features = [
-        (*found, f"chars:{min(10, size.bit_length())}", f"links:{4 * linked // size if size else 'none'}")
-        for found, size, linked in zip(names, texts, links, strict=True)
+        tuple(found)
+        if not node or found[0] == "text" or tags[node] in INLINE
+        else (*found, f"chars:{min(8, size.bit_length())}", f"links:{4 * linked // size if size else 'none'}")
+        for node, (found, size, linked) in enumerate(zip(names, texts, links, strict=True))
     ]
     return Page(parent, features, label, events, unseen)
 
@@ -174,64 +177,90 @@ def _close_implied(tag: str, tags: list[str], stack: list[int], close) -> None:
                 return
 
 
+OUTER, MAIN, REST = 0, 1, 2
+STATES = (OUTER, MAIN, REST)
+
+
 class TreeModel(NamedTuple):
-    """Log potentials: of a feature for main text against the rest, of (parent, child) states, and of the root."""
+    """Log evidence of a feature for each state, and the potentials of (parent, child) states.
 
-    evidence: dict[str, float]
-    child: tuple[tuple[float, float], tuple[float, float]]
-    root: tuple[float, float]
+    An element holds main text, or the rest, or is outside of both and holds
+    some of each; the root is outside.
+    """
+
+    evidence: dict[str, tuple[float, float, float]]
+    child: tuple[tuple[float, float, float], ...]
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of each node of being main text, by sum-product over the tree."""
-        get = self.evidence.get
-        (stay_out, go_in), (go_out, stay_in) = ((math.exp(x) for x in row) for row in self.child)
+        get, none = self.evidence.get, (0.0, 0.0, 0.0)
+        (p00, p01, p02), (p10, p11, p12), (p20, p21, p22) = self.child
+        exp, log = math.exp, math.log
         n = len(page.parent)
-        own = [sum(get(f, 0.0) for f in found) for found in page.features]
-        for node, unseen in enumerate(page.unseen):
-            if unseen:
-                own[node] = -30.0
-        own[0] += self.root[1] - self.root[0]
-        # Upward: log-odds of everything below a node, and the message to its parent.
-        up, message = own[:], [0.0] * n
+        # Upward: what a node and all below it say of its state, and the message to its parent.
+        up0, up1, up2 = [0.0] * n, [-40.0 if k == 0 else 0.0 for k in range(n)], [-40.0 if k == 0 else 0.0 for k in range(n)]
+        for node, found in enumerate(page.features):
+            for feature in found:
+                e0, e1, e2 = get(feature, none)
+                up0[node] += e0
+                up1[node] += e1
+                up2[node] += e2
+        message = [none] * n
         for node in range(n - 1, 0, -1):
-            odds = _odds(up[node])
-            message[node] = math.log((go_out + stay_in * odds) / (stay_out + go_in * odds))
-            up[page.parent[node]] += message[node]
-        # Downward: what the rest of the page says of the parent, without this node.
-        whole = up[:]
-        for node in range(1, n):
-            odds = _odds(whole[page.parent[node]] - message[node])
-            whole[node] = up[node] + math.log((go_in + stay_in * odds) / (stay_out + go_out * odds))
-        return [1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, x)))) for x in whole]
-
-
-def _odds(x: float) -> float:
-    return math.exp(max(-35.0, min(35.0, x)))
+            most = max(up0[node], up1[node], up2[node])
+            x0, x1, x2 = exp(up0[node] - most), exp(up1[node] - most), exp(up2[node] - most)
+            m0, m1, m2 = (
+                log(p00 * x0 + p01 * x1 + p02 * x2), log(p10 * x0 + p11 * x1 + p12 * x2), log(p20 * x0 + p21 * x1 + p22 * x2)
+            )
+            message[node] = (m0, m1, m2)
+            parent = page.parent[node]
+            up0[parent] += m0
+            up1[parent] += m1
+            up2[parent] += m2
+        # Downward: what the rest of the page says of the parent's state, without this node.
+        found = [0.0] * n
+        for node in range(n):
+            if node:
+                parent, (m0, m1, m2) = page.parent[node], message[node]
+                y0, y1, y2 = up0[parent] - m0, up1[parent] - m1, up2[parent] - m2
+                most = max(y0, y1, y2)
+                y0, y1, y2 = exp(y0 - most), exp(y1 - most), exp(y2 - most)
+                up0[node] += log(p00 * y0 + p10 * y1 + p20 * y2)
+                up1[node] += log(p01 * y0 + p11 * y1 + p21 * y2)
+                up2[node] += log(p02 * y0 + p12 * y1 + p22 * y2)
+            most = max(up0[node], up1[node], up2[node])
+            one = exp(up1[node] - most)
+            found[node] = one / (exp(up0[node] - most) + one + exp(up2[node] - most))
+        return found
+
+
+def states(page: Page) -> list[int]:
+    """The labelled states: an element takes its own label, else its parent's; the root is outside."""
+    found = [OUTER] * len(page.parent)
+    for node, label in enumerate(page.label):
+        found[node] = {"main": MAIN, "rest": REST}.get(label or "", found[page.parent[node]] if node else OUTER)
+    return found
 
 
 def fit(pages: list[str], smoothing: float = SMOOTHING) -> TreeModel:
-    """Count features and parent-child states on labelled pages.
-
-    An element takes its own label, else its parent's; without any it is not
-    main text. Every feature of a node counts once.
-    """
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    nodes = [0, 0]
-    pairs = [[smoothing, smoothing], [smoothing, smoothing]]
+    """Count features and parent-child states on labelled pages; what is never shown does not count."""
+    seen = [Counter() for _ in STATES]
+    nodes = [0] * len(STATES)
+    pairs = [[smoothing] * len(STATES) for _ in STATES]
     for page in map(parse, pages):
-        state = [0] * len(page.parent)
-        for node, (parent, label) in enumerate(zip(page.parent, page.label, strict=True)):
-            state[node] = {"main": 1, "rest": 0}.get(label or "", state[parent] if node else 0)
+        state = states(page)
+        for node, parent in enumerate(page.parent):
             if page.unseen[node]:
                 continue
             seen[state[node]].update(page.features[node])
             nodes[state[node]] += 1
             if node:
                 pairs[state[parent]][state[node]] += 1
-    rate = [[(seen[s][f] + smoothing) / (nodes[s] + 2 * smoothing) for s in (0, 1)] for f in seen[0] | seen[1]]
-    evidence = {f: math.log(one) - math.log(zero) for f, (zero, one) in zip(seen[0] | seen[1], rate, strict=True)}
-    child = tuple(tuple(math.log(x / sum(row)) for x in row) for row in pairs)
-    return TreeModel(evidence, child, (math.log(0.95), math.log(0.05)))
+    evidence = {
+        f: tuple(math.log((seen[s][f] + smoothing) / (nodes[s] + 2 * smoothing)) for s in STATES)
+        for f in set().union(*seen)
+    }
+    return TreeModel(evidence, tuple(tuple(x / sum(row) for x in row) for row in pairs))
 
 
 def main_text(page: str | None, model: TreeModel) -> str:

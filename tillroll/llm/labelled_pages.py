@@ -9,6 +9,7 @@ lengths and links do.
 from __future__ import annotations
 
 import random
+import re
 
 MAIN = 'data-label="main"'
 REST = 'data-label="rest"'
@@ -27,6 +28,10 @@ _CONTAINERS = (
     ('<div class="wrapper"><div class="main"><div class="story text" {m}>', "</div></div></div>"),
     ('<section class="article" {m}>', "</section>"),
     ('<div role="main" {m}>', "</div>"),
+    ("<div {m}>", "</div>"),
+    ('<div id="story" {m}>', "</div>"),
+    ('<div class="page-content body" {m}>', "</div>"),
+    ("<section {m}>", "</section>"),
     ('<table class="layout"><tr><td class="body" {m}>', "</td></tr></table>"),
 )
 _OUTSIDE = (
@@ -78,6 +83,17 @@ _TEXTS = (
     "<h2>{short}</h2><p>{paragraph}</p>",
     '<p>{sentence} <a href="/r">{short}</a> {sentence}</p>',
     "<p><b>{sentence}</b><br>{sentence}</p>",
+    "<p><b>{sentence}<br>",
+    "<p>{short}<br>{short}</p>",
+    '<p>{short} <a href="/r">{short}</a> {short}.</p>',
+    '<p><a href="/r">{sentence}</a> {short}</p>',
+    '<p><em>{short}</em> <span>{sentence}</span> <a href="/r"><i>{short}</i></a></p>',
+    "<ul><li>{short}<li>{short}<li>{sentence}</ul>",
+    "<ol><li>{short}</li><li>{paragraph}</li></ol>",
+    '<ul><li><a href="/r">{short}</a> {sentence}</li></ul>',
+    "<h3>{short}</h3>",
+    "<dl><dt>{short}<dd>{sentence}</dl>",
+    "<table><tbody><tr><td>{short}</td><td>{short}</td></tr></tbody></table>",
     "<ul><li>{sentence}</li><li>{sentence}</li></ul>",
     "<blockquote><p>{sentence}</p></blockquote>",
     "<div>{paragraph}</div>",
@@ -102,7 +118,7 @@ def _part(rng: random.Random, form: str) -> str:
     return filled
 
 
-def labelled_pages(n: int = 400, seed: int = 7) -> list[str]:
+def labelled_pages(n: int = 800, seed: int = 7) -> list[str]:
     """``n`` pages, the same ones for a seed."""
     rng = random.Random(seed)
     pages = []
@@ -114,7 +130,10 @@ def labelled_pages(n: int = 400, seed: int = 7) -> list[str]:
         for _ in range(rng.choice((0, 0, 1, 2))):
             texts.insert(rng.randint(0, len(texts)), _part(rng, rng.choice(_INSIDE)))
         body = [_part(rng, rng.choice(_OUTSIDE)) for _ in range(rng.randint(1, 4))]
-        body += [_part(rng, begin), *texts, end]
+        if rng.random() < 0.1:  # no container: the texts are in the page itself
+            body += [re.sub(r"^<(\w+)", rf"<\1 {MAIN}", text) if REST not in text else text for text in texts]
+        else:
+            body += [_part(rng, begin), *texts, end]
         body += [_part(rng, rng.choice(_OUTSIDE)) for _ in range(rng.choice((0, 0, 1, 2)))]
         body += [_part(rng, rng.choice(_AFTER)) for _ in range(rng.randint(1, 3))]
         if rng.random() < 0.5:

@@ -232,11 +232,13 @@ def classes(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """Per document: doc_id, digest of its text and class_id, the smallest doc_id of its near duplicates (itself included).
+    """Per document: doc_id, digest of its text, component and class_id.
 
-    A null text is an empty one. Texts without words are near duplicates of equal
-    texts only. Rows with equal ids are documents of their own; a class without
-    any id has a null one. Other columns are not read.
+    ``component`` numbers the classes of near duplicates; ``class_id`` is the
+    smallest doc_id in a class. A null text is an empty one. Texts without words
+    are near duplicates of equal texts only. Rows with equal ids are documents of
+    their own; a class without any id has a null class_id. Other columns are not
+    read.
     """
     source = documents.select(
         F.col(text_column).alias("text"), F.col(id_column).cast("long").alias("doc_id"), _digest(text_column).alias("digest")
@@ -261,5 +263,23 @@ def classes(
     grouped = nodes.select("node", "digest", "first_id").join(named, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     lowest = grouped.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    by_text = grouped.join(lowest, "component").select("digest", "class_id")
-    return signed.select("doc_id", "digest").join(by_text, "digest").select("doc_id", "digest", "class_id")
+    by_text = grouped.join(lowest, "component").select("digest", "component", "class_id")
+    return signed.select("doc_id", "digest").join(by_text, "digest").select("doc_id", "digest", "component", "class_id")
+
+
+def keep_one(documents: DataFrame, threshold: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One document of each class with all its columns: the one with the smallest id, of equal ids with the smallest digest.
+
+    Null ids come last. Of rows that repeat an id and a text, one stays.
+    """
+    plain = [f"_{i}" for i in range(len(documents.columns))]
+    at = dict(zip(documents.columns, plain, strict=True))
+    rows = documents.toDF(*plain).withColumns(
+        {"_digest": _digest(at[text_column]), "_id": F.col(at[id_column]).cast("long")}
+    )
+    found = classes(rows, threshold, id_column="_id", text_column=at[text_column])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "digest")).alias("first")
+    kept = found.groupBy("component").agg(first).select("first.doc_id", "first.digest")
+    same = (rows["_digest"] == kept["digest"]) & rows["_id"].eqNullSafe(kept["doc_id"])
+    chosen = rows.join(kept, same).dropDuplicates(["_digest", "_id"])
+    return chosen.select(*plain).toDF(*documents.columns)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tillroll.llm import decontamination, html_text, minhash, packing, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 from tillroll.scratch import scratch_path
 
@@ -137,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "pipeline": corpus_pipeline.run,
     }
 
 

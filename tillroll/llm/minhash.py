@@ -1,29 +1,30 @@
 """Near duplicates by ProbMinHash of weighted shingles, banding and verification.
 
-A shingle is five words, its weight how often the text has it. Each shingle is a
+A shingle is five words, its weight 1 and the log of how often the text has it.
+Each shingle is a
 Poisson process with its weight as rate: its arrivals fall on random components,
 and every component keeps the shingle that arrives first. A shingle is followed
 only until its next arrival comes after the latest first arrival of all
 components. Two texts agree in a component with the probability Jaccard
 similarity of their weights. Bands of components are bucket keys; pairs from
-common buckets are compared by their shingles.
+common buckets are compared by the Jaccard similarity of their shingle sets.
 
 Equal texts are one node. Instead of all pairs of a bucket, nodes are compared
 with few others at a time, and what is linked already is not compared again:
-first every node with one pivot of its buckets; then, bucket by bucket, only
-nodes of different components, all of them in small buckets and one pivot with
-the others in larger ones, until no bucket holds two components that have not
-been compared. So no link between different components is lost, however large a
+first every node with one pivot of its buckets; then, bucket by bucket, the
+nodes outside of the bucket's largest component with those of other components,
+a bounded number of them in a round, until no bucket holds two components that
+have not been compared. So no link between components is lost, however large a
 bucket is, and a large group of copies costs about one comparison per node.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +33,12 @@ from tillroll.scratch import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 36
-ROWS = 7
-SMALL = 16  # nodes of a bucket that are compared with one another at once
+BANDS = 28  # a pair of similarity 0.8 meets in one of them with probability 0.9998
+ROWS = 6
+PIVOTS = 32  # nodes of a bucket that are compared with its other components at once
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_WORDS_KEPT = 400_000
+STRETCH = 1 << 20
+_SPACE = re.compile(rb"[\t-\r ]")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -46,28 +48,60 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > _WORDS_KEPT:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
 
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
 
-_word_hashes = _WordHashes()
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n >= len(self.up):
+            size = 1 << n.bit_length()
+            odd, inverse = int(_GOLDEN), pow(int(_GOLDEN), -1, 1 << 64)
+            self.up, self.down = (np.cumprod(np.append(np.uint64(1), np.full(size, k, np.uint64))) for k in (odd, inverse))
+        return self.up, self.down
+
+
+_powers = _Powers()
+
+
+def _word_hashes(raw: bytes) -> np.ndarray:
+    """A hash of every word: differences of a running polynomial, shifted to the word's start."""
+    letters = np.frombuffer(raw, np.uint8)
+    inside = (letters > 32) | (letters < 9) | ((letters > 13) & (letters < 32))
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    start, stop = edges[::2], edges[1::2]
+    up, down = _powers.upto(len(letters))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * up[: len(letters)])])
+    return mixed((running[stop] - running[start]) * down[start])
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the lower-case words between white space; a long text is taken in stretches of whole words."""
+    raw = (text or "").lower().encode("utf-8", "replace")
+    if len(raw) <= STRETCH:
+        return _word_hashes(raw)
+    found, at = [], 0
+    while at < len(raw):
+        end = _SPACE.search(raw, at + STRETCH)
+        end = end.end() if end else len(raw)
+        found.append(_word_hashes(raw[at:end]))
+        at = end
+    return np.concatenate(found)
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of a text's shingles and how often each occurs; a shorter text is one shingle, no words are none."""
-    words = (text or "").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(words) - size + 1)
-    value = np.zeros(n, np.uint64)
-    for k in range(min(size, len(words))):
-        value = mixed(value + hashes[k : k + n] + _GOLDEN)
-    return np.unique(value, return_counts=True)
+    hashes = word_hashes(text)
+    if not len(hashes):
+        return hashes, np.zeros(0, np.int64)
+    n = max(1, len(hashes) - size + 1)
+    value = hashes[:n].copy()
+    for k in range(1, min(size, len(hashes))):
+        value = value * _GOLDEN + hashes[k : k + n]
+    value = np.sort(mixed(value))
+    fresh = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    return value[fresh], np.diff(np.append(fresh, n))
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
@@ -78,7 +112,7 @@ def signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarra
     time = np.zeros(len(elements))
     drawn = 0
     while len(alive):
-        block = max(1, 2 * size // len(alive))
+        block = max(1, 6 * size // len(alive))
         turn = np.arange(drawn + 1, drawn + block + 1, dtype=np.uint64) * _GOLDEN
         bits = mixed(elements[alive][:, None] + turn[None, :])
         gaps = -np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
@@ -103,26 +137,14 @@ def band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def similarity(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> float:
-    """The larger of the Jaccard similarity of the shingle sets and the probability Jaccard of their weights."""
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets of shingles."""
+    if not len(a) or not len(b):
+        return 0.0
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
-    common = np.flatnonzero(b[at] == a) if len(b) else np.zeros(0, np.int64)
-    if not len(common):
-        return 0.0
-    union = len(a) + len(b) - len(common)
-    plain = len(common) / union
-    if na.max() == 1 and nb.max() == 1:
-        return plain
-    # For a common shingle d the sum over all s of max(a_s / a_d, b_s / b_d): with a_d / b_d at most a_s / b_s
-    # the first is larger, else the second.
-    x, y = na[common].astype(np.float64), nb[at[common]].astype(np.float64)
-    order = np.argsort(x / y)
-    x, y = x[order], y[order]
-    only_a, only_b = na.sum() - x.sum(), nb.sum() - y.sum()
-    from_a = only_a + np.cumsum(x[::-1])[::-1]
-    from_b = only_b + np.cumsum(y) - y
-    return max(plain, float((1.0 / (from_a / x + from_b / y)).sum()))
+    common = int((b[at] == a).sum())
+    return common / (len(a) + len(b) - common)
 
 
 def _signed(bands: int, rows: int, size: int):
@@ -130,8 +152,9 @@ def _signed(bands: int, rows: int, size: int):
         for batch in batches:
             keys = []
             for text in batch.column(0).to_pylist():
-                elements, weights = shingles(text, size)
-                keys.append(band_keys(signature(elements, weights, bands * rows), bands, rows) if len(elements) else None)
+                elements, times = shingles(text, size)
+                found = signature(elements, 1.0 + np.log(times), bands * rows) if len(elements) else None
+                keys.append(None if found is None else band_keys(found, bands, rows))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "keys"]
             )
@@ -144,14 +167,9 @@ def _shingled(size: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = [shingles(text, size) for text in part.column(1).to_pylist()]
+                found = [shingles(text, size)[0].view(np.int64) for text in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([f[0].view(np.int64) for f in found], pa.list_(pa.int64())),
-                        pa.array([f[1] if len(f[1]) and f[1].max() > 1 else [] for f in found], pa.list_(pa.int64())),
-                    ],
-                    names=["node", "shingles", "counts"],
+                    [part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"]
                 )
 
     return run
@@ -164,12 +182,9 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = [_lists(batch.column(k)) for k in range(2, 6)]
-        scores = []
-        for a, na, b, nb in zip(*columns, strict=True):
-            na = na if len(na) else np.ones(len(a), np.int64)
-            nb = nb if len(nb) else np.ones(len(b), np.int64)
-            scores.append(similarity(a.view(np.uint64), na, b.view(np.uint64), nb))
+        # Sorted as unsigned numbers before they were stored.
+        left, right = (_lists(batch.column(k)) for k in (2, 3))
+        scores = [similarity(a.view(np.uint64), b.view(np.uint64)) for a, b in zip(left, right, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["a", "b", "similarity"]
         )
@@ -177,9 +192,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
     """The pairs (a, b) with their similarity."""
-    left = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
-    right = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "ca", "sb", "cb")
+    left = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     return joined.mapInArrow(_compared, "a long, b long, similarity double")
 
 
@@ -187,36 +202,49 @@ def _pair(one: str, other: str) -> list:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def link(buckets: DataFrame, shingled: DataFrame, threshold: float = SIMILARITY, small: int = SMALL) -> DataFrame:
+def link(buckets: DataFrame, shingled: DataFrame, threshold: float = SIMILARITY, pivots: int = PIVOTS) -> DataFrame:
     """(node, component) of all nodes that have a link, from bucket rows (key, node)."""
-    pivots = buckets.groupBy("key").agg(F.min("node").alias("pivot"))
-    first = buckets.join(pivots, "key").groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot <> node")
+    lowest = buckets.groupBy("key").agg(F.min("node").alias("pivot"))
+    first = buckets.join(lowest, "key").groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot <> node")
     compared = materialize(verified(first.select(*_pair("node", "pivot")).distinct(), shingled), "compared")
+    named = components(compared.filter(F.col("similarity") >= threshold))
     left = buckets
     while True:
-        named = components(compared.filter(F.col("similarity") >= threshold))
         known = left.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        sizes = known.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.min(F.struct(F.xxhash64("node"), "node")).alias("lowest"),
+        parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        sizes = parts.groupBy("key").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")
+        )
+        sizes = sizes.filter("parts > 1").select(
+            "key", F.col("largest.component").alias("largest"), (F.col("n") - F.col("largest.n")).alias("others")
         )
-        open_ = sizes.filter("least <> most").select("key", "n", F.col("lowest.node").alias("pivot"))
-        left = materialize(known.join(open_, "key"), "open-buckets")
+        # All nodes outside of the largest component, or as many of them by chance.
+        chosen = (F.col("component") != F.col("largest")) & (F.pmod(F.xxhash64("node"), F.col("others")) < pivots)
+        left = materialize(known.join(sizes, "key").withColumn("is_pivot", chosen), "open-buckets")
         if left.isEmpty():
             return named
-        few = left.filter(F.col("n") <= small)
-        others = few.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
-        inside = few.join(others, "key").filter("node < other and component <> other_component").select(*_pair("node", "other"))
-        many = left.filter(F.col("n") > small)
-        own = many.filter("node = pivot").select("key", F.col("component").alias("pivot_component"))
-        around = many.join(own, "key").filter("component <> pivot_component").select(*_pair("node", "pivot"))
-        pairs = inside.unionAll(around).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        around = left.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
+        pairs = left.filter("is_pivot").select("key", "node", "component").join(around, "key")
+        pairs = pairs.filter("component <> other_component").select(*_pair("node", "other")).distinct()
+        pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         more = materialize(verified(pairs, shingled), "compared")
-        compared = materialize(compared.unionAll(more), "compared")
+        compared = compared.unionAll(more)
+        named = _joined(named, more.filter(F.col("similarity") >= threshold))
         # What has been compared with all others of its bucket leaves it.
-        left = many.filter("node <> pivot").select("key", "node")
+        left = left.filter("not is_pivot").select("key", "node")
+
+
+def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: those that the links join take one name."""
+    if links.isEmpty():
+        return named
+    for end in ("a", "b"):
+        names = named.select(F.col("node").alias(end), F.col("component").alias("_name"))
+        links = links.join(names, end, "left").withColumn(end, F.coalesce("_name", end)).drop("_name")
+    joined = components(links.select("a", "b").filter("a <> b")).toDF("component", "joined")
+    renamed = named.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    fresh = joined.select(F.col("component").alias("node"), F.col("joined").alias("component"))
+    return materialize(renamed.unionAll(fresh.join(named, "node", "left_anti")), "names")
 
 
 def _digest(text_column: str):
@@ -256,7 +284,7 @@ def classes(
     # Rows repeated with id and text are one node.
     texts = source.join(met, same).select("node", "text")
     shingled = materialize(
-        texts.mapInArrow(_shingled(size), "node long, shingles array<long>, counts array<long>").dropDuplicates(["node"]),
+        texts.mapInArrow(_shingled(size), "node long, shingles array<long>").dropDuplicates(["node"]),
         "shingled",
     )
     named = link(buckets, shingled, threshold)

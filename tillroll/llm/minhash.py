@@ -1,21 +1,21 @@
 """Near duplicates by ProbMinHash of weighted shingles, banding and verification.
 
 A shingle is five words, its weight 1 and the log of how often the text has it.
-Each shingle is a
-Poisson process with its weight as rate: its arrivals fall on random components,
-and every component keeps the shingle that arrives first. A shingle is followed
-only until its next arrival comes after the latest first arrival of all
-components. Two texts agree in a component with the probability Jaccard
+Each shingle is a Poisson process with its weight as rate: its arrivals fall on
+random components, and every component keeps the shingle that arrives first. A
+shingle is followed only until its next arrival comes after the latest first
+arrival of all components. Two texts agree in a component with the probability Jaccard
 similarity of their weights. Bands of components are bucket keys; pairs from
 common buckets are compared by the Jaccard similarity of their shingle sets.
 
 Equal texts are one node. Instead of all pairs of a bucket, nodes are compared
-with few others at a time, and what is linked already is not compared again:
-first every node with one pivot of its buckets; then, bucket by bucket, the
-nodes outside of the bucket's largest component with those of other components,
-a bounded number of them in a round, until no bucket holds two components that
-have not been compared. So no link between components is lost, however large a
-bucket is, and a large group of copies costs about one comparison per node.
+with few others at a time, and what is linked already is not compared again. In
+each bucket one component is the largest (at first one node). In light turns
+every node outside of it is compared with one of its members in some buckets;
+then, bucket by bucket, such nodes are compared with all of other components, a
+bounded number of them in a turn, until no bucket holds two components that have
+not been compared. So no link between components is lost, however large a bucket
+is, and a large group of copies costs a few comparisons per node.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 28  # a pair of similarity 0.8 meets in one of them with probability 0.9998
 ROWS = 6
+LIGHT_TURNS = 2
 PIVOTS = 32  # nodes of a bucket that are compared with its other components at once
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STRETCH = 1 << 20
@@ -137,16 +138,6 @@ def band_keys(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sets of shingles."""
-    if not len(a) or not len(b):
-        return 0.0
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    common = int((b[at] == a).sum())
-    return common / (len(a) + len(b) - common)
-
-
 def _signed(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,27 +166,13 @@ def _shingled(size: int):
     return run
 
 
-def _lists(column: pa.Array) -> list[np.ndarray]:
-    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
-    return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        # Sorted as unsigned numbers before they were stored.
-        left, right = (_lists(batch.column(k)) for k in (2, 3))
-        scores = [similarity(a.view(np.uint64), b.view(np.uint64)) for a, b in zip(left, right, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["a", "b", "similarity"]
-        )
-
-
 def verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
-    """The pairs (a, b) with their similarity."""
+    """The pairs (a, b) with the Jaccard similarity of their shingle sets."""
     left = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return joined.mapInArrow(_compared, "a long, b long, similarity double")
+    common = F.size(F.array_intersect("sa", "sb"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return both.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("similarity"))
 
 
 def _pair(one: str, other: str) -> list:
@@ -204,34 +181,51 @@ def _pair(one: str, other: str) -> list:
 
 def link(buckets: DataFrame, shingled: DataFrame, threshold: float = SIMILARITY, pivots: int = PIVOTS) -> DataFrame:
     """(node, component) of all nodes that have a link, from bucket rows (key, node)."""
-    lowest = buckets.groupBy("key").agg(F.min("node").alias("pivot"))
-    first = buckets.join(lowest, "key").groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot <> node")
-    compared = materialize(verified(first.select(*_pair("node", "pivot")).distinct(), shingled), "compared")
-    named = components(compared.filter(F.col("similarity") >= threshold))
+    named = components(shingled.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    compared = None
     left = buckets
+    turn = 0
     while True:
         known = left.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        parts = known.groupBy("key", "component").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("member")
+        )
         sizes = parts.groupBy("key").agg(
-            F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")
+            F.sum("n").alias("n"), F.max(F.struct("n", "component", "member")).alias("largest"), F.count(F.lit(1)).alias("parts")
         )
         sizes = sizes.filter("parts > 1").select(
-            "key", F.col("largest.component").alias("largest"), (F.col("n") - F.col("largest.n")).alias("others")
+            "key",
+            F.col("largest.component").alias("largest"),
+            F.col("largest.member.node").alias("member"),
+            (F.col("n") - F.col("largest.n")).alias("others"),
         )
         # All nodes outside of the largest component, or as many of them by chance.
         chosen = (F.col("component") != F.col("largest")) & (F.pmod(F.xxhash64("node"), F.col("others")) < pivots)
         left = materialize(known.join(sizes, "key").withColumn("is_pivot", chosen), "open-buckets")
         if left.isEmpty():
             return named
-        around = left.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
-        pairs = left.filter("is_pivot").select("key", "node", "component").join(around, "key")
-        pairs = pairs.filter("component <> other_component").select(*_pair("node", "other")).distinct()
-        pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        if turn < LIGHT_TURNS:
+            pairs = _few(left.filter("component <> largest"))
+        else:
+            around = left.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
+            pairs = left.filter("is_pivot").select("key", "node", "component").join(around, "key")
+            pairs = pairs.filter("component <> other_component").select(*_pair("node", "other")).distinct()
+            # What has been compared with all others of its bucket leaves it.
+            left = left.filter("not is_pivot")
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
         more = materialize(verified(pairs, shingled), "compared")
-        compared = compared.unionAll(more)
+        compared = more.select("a", "b") if compared is None else compared.unionAll(more.select("a", "b"))
         named = _joined(named, more.filter(F.col("similarity") >= threshold))
-        # What has been compared with all others of its bucket leaves it.
-        left = left.filter("not is_pivot").select("key", "node")
+        left = left.select("key", "node")
+        turn += 1
+
+
+def _few(outside: DataFrame) -> DataFrame:
+    """For nodes outside of the largest component: pairs with its members in four of their buckets at most."""
+    by_chance = [F.min(F.struct(F.xxhash64("member", F.lit(k)), "member"))["member"] for k in range(4)]
+    found = outside.groupBy("node").agg(F.array(*by_chance).alias("members"))
+    return found.select("node", F.explode(F.array_distinct("members")).alias("other")).select(*_pair("node", "other")).distinct()
 
 
 def _joined(named: DataFrame, links: DataFrame) -> DataFrame:

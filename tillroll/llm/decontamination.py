@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 Q = 8
 WINDOW = 100
-EDITS = 0.1  # of a pattern's characters
+EDITS = 0.08  # of a pattern's characters
 BLOCK_CHARS = 4_000_000
 _BITS = 22
+_OFFSET_BITS, _BAND_BITS = 8, 33  # a pattern has at most 256 q-grams
+_FAR = 1 << 31
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _GAPS = re.compile(r"[\W_]+")
 _FIELDS = "doc_id long, item_id long, start long, stop long, windows int, edits int"
@@ -53,6 +55,14 @@ def _grams(codes: np.ndarray) -> np.ndarray:
     return (value ^ (value >> np.uint64(29))) * _MIX
 
 
+def _runs(key: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Keys (pattern and band) that occur as often in a sorted array as their pattern's bound asks for."""
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.diff(np.append(starts, len(key)))
+    key = key[starts]
+    return key[count >= bound[key >> _BAND_BITS]]
+
+
 class Hit(NamedTuple):
     item: int
     start: int  # in the normal form
@@ -64,6 +74,8 @@ class Patterns:
     """Windows of a block of items, indexed by q-gram."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, edits: float = EDITS) -> None:
+        if window >= 1 << _OFFSET_BITS:
+            raise ValueError("windows have to be shorter")
         self.item, self.codes, self.budget, self.least = [], [], [], []
         self.phrases = []  # too short for a q-gram: found as whole words
         for item, text in items:
@@ -71,7 +83,7 @@ class Patterns:
             if form and len(form) < Q:
                 self.phrases.append((item, f" {form} "))
             for a in self._starts(len(form), window) if len(form) >= Q else ():
-                codes = _codes(form[a : a + window] if len(form) > window + window // 4 else form)
+                codes = _codes(form[a : a + window])
                 m = len(codes)
                 budget = min(int(m * edits), (m - Q) // Q)
                 self.item.append(item)
@@ -90,41 +102,73 @@ class Patterns:
         self.maybe[(self.gram >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         self.stride = np.array(self.budget, np.int64) + 1
         self.bound = np.array(self.least, np.int64)
+        self.fewest = min(self.least, default=0)
+        self.reach = max((len(c) + k for c, k in zip(self.codes, self.budget, strict=True)), default=0)
 
     @staticmethod
     def _starts(length: int, window: int) -> list[int]:
-        if length <= window + window // 4:
+        if length <= window:
             return [0]
         return sorted({*range(0, length - window, window // 2), length - window})
 
-    def bands(self, grams: np.ndarray) -> list[tuple[int, int]]:
-        """(pattern, lowest diagonal) of the bands whose shared q-grams reach the bound."""
-        at = np.flatnonzero(self.maybe[(grams >> np.uint64(64 - _BITS)).astype(np.int64)])
+    def _dense(self, hit: np.ndarray) -> np.ndarray:
+        """Places of q-grams of any pattern that lie in a stretch, as long as any alignment, with enough of them."""
+        before = np.concatenate([[0], np.cumsum(hit)])
+        if not self.codes or before[-1] < self.fewest:
+            return np.zeros(0, np.int64)
+        if len(hit) > self.reach:
+            full = before[self.reach :] - before[: -self.reach] >= self.fewest
+            edges = np.zeros(len(hit) + 1, np.int64)
+            edges[: len(full)] += full
+            edges[self.reach :] -= full
+            hit = hit & (np.cumsum(edges)[:-1] > 0)
+        return np.flatnonzero(hit)
+
+    def bands(self, grams: np.ndarray) -> list[tuple[int, int, int]]:
+        """(pattern, lowest, highest diagonal) where as many of the pattern's q-grams occur as the bound asks for.
+
+        Bands that reach the bound and touch are one.
+        """
+        at = self._dense(self.maybe[(grams >> np.uint64(64 - _BITS)).astype(np.int64)])
         if not len(at):
             return []
         place = np.searchsorted(self.gram, grams[at])
         place[place == len(self.gram)] = 0
         found = self.gram[place] == grams[at]
         at, place = at[found], place[found]
+        if not len(at):
+            return []
         n = self.n[place]
         where = np.repeat(self.first[place], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        owner = self.owner[where]
-        band = (np.repeat(at, n) - self.offset[where]) // self.stride[owner]
+        owner, offset = self.owner[where], self.offset[where]
         # Band b covers strides b and b + 1.
-        key = np.concatenate([owner, owner]) * (1 << 40) + np.concatenate([band, band - 1]) + (1 << 30)
-        key, count = np.unique(key, return_counts=True)
-        owner, band = key >> 40, (key & ((1 << 40) - 1)) - (1 << 30)
-        full = count >= self.bound[owner]
-        return [(int(p), int(b * self.stride[p])) for p, b in zip(owner[full], band[full], strict=True)]
+        band = (np.repeat(at, n) - offset) // self.stride[owner] + _FAR + (owner << _BAND_BITS)
+        key, offset = np.concatenate([band, band - 1]), np.concatenate([offset, offset])
+        enough = _runs(np.sort(key), self.bound)
+        if not len(enough):
+            return []
+        # In what is left a q-gram of the pattern counts once.
+        left = np.isin(key, enough)
+        once = np.unique((key[left] << _OFFSET_BITS) + offset[left]) >> _OFFSET_BITS
+        key = _runs(once, self.bound)
+        owner, band = key >> _BAND_BITS, (key & ((1 << _BAND_BITS) - 1)) - _FAR
+        joined: list[tuple[int, int, int]] = []
+        for pattern, b in zip(owner.tolist(), band.tolist(), strict=True):
+            stride = int(self.stride[pattern])
+            low, high = b * stride, (b + 2) * stride - 1
+            if joined and joined[-1][0] == pattern and low <= joined[-1][2] + 1:
+                joined[-1] = (pattern, joined[-1][1], high)
+            else:
+                joined.append((pattern, low, high))
+        return joined
 
     def search(self, form: str) -> list[Hit]:
         """All windows and phrases found in a normal form; one hit per place."""
         hits = [Hit(i, at, at + len(p) - 2, 0) for i, p in self.phrases if (at := f" {form} ".find(p)) >= 0]
         codes = _codes(form)
         best: dict[tuple[int, int], Hit] = {}
-        for pattern, diagonal in self.bands(_grams(codes)):
-            k = self.budget[pattern]
-            aligned = align(self.codes[pattern], codes, diagonal, diagonal + 2 * self.stride[pattern] - 1, k)
+        for pattern, low, high in self.bands(_grams(codes)):
+            aligned = align(self.codes[pattern], codes, low, high, self.budget[pattern])
             if aligned is not None:
                 start, stop, edits = aligned
                 best.setdefault((pattern, stop), Hit(self.item[pattern], start, stop, edits))

@@ -18,7 +18,7 @@ from tillroll.plans.segmentation import fit_and_label  # noqa: E402
 from tillroll.schema import EXPORT_COLUMNS, MEASURES, TRANSACTIONS  # noqa: E402
 from tillroll.scratch import scratch_path  # noqa: E402
 from tillroll.sinks.archive import archive, archive_by_segment  # noqa: E402
-from tillroll.sinks.lists import export_segment, export_single_file  # noqa: E402
+from tillroll.sinks.lists import export_segment  # noqa: E402
 from tillroll.sources.retail_star import transactions_from_star as tx  # noqa: E402
 from tillroll.sources.transactions import read_snapshot, read_transactions, stream_transactions  # noqa: E402
 from tillroll.streaming import revenue  # noqa: E402
@@ -53,12 +53,12 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 def _write_csv(df: DataFrame, spark: SparkSession, label: str) -> str:
     path = scratch_path(spark, label)
-    df.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return path
 
 
 def _csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
-    return read_transactions(spark, _write_csv(tx(spark, sf).drop("description"), spark, "csv"), "csv", infer=True)
+    return read_transactions(spark, _write_csv(tx(spark, sf), spark, "csv"), "csv", infer=True)
 
 
 def _csv_declared(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,12 +77,6 @@ def _export_segment(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(LIST_SCHEMA).csv(path, header=True)
 
 
-def _export_single_file(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "loyal")
-    export_single_file(segments.export_rows(labeled(spark, sf), "Loyal"), path)
-    return spark.read.schema(LIST_SCHEMA).csv(path, header=True)
-
-
 def _segment_archive(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "segments")
     archive_by_segment(labeled(spark, sf).select(*EXPORT_COLUMNS), path)
@@ -111,8 +105,9 @@ def _silhouette(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
-    found, _, _ = fit_and_label(outliers.remove_outliers(rfm(spark, sf)), k=5)
-    return found.select(*EXPORT_COLUMNS)
+    """Every row within the fences, and whether its segment is that of the nearest fitted centre."""
+    found, model, _ = fit_and_label(outliers.remove_outliers(rfm(spark, sf)), k=5)
+    return clustering.with_nearest(found, model).select(*EXPORT_COLUMNS[:-1], "nearest")
 
 
 def _select_k(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,6 +120,37 @@ def _k_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.sweep_k(features.rfm_log(trimmed), range(2, 10), max_iter=50, parallelism=8)
 
 
+def _quantile_trim_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the share of rows below each sketched bound of the trim is within the promised error."""
+    table = rfm(spark, sf)
+    rows, error = table.count(), 0.01
+    checks = []
+    for measure in MEASURES:
+        for share, bound in zip((0.01, 0.99), table.approxQuantile(measure, [0.01, 0.99], error), strict=True):
+            below, upto = table.agg(F.count_if(F.col(measure) < bound), F.count_if(F.col(measure) <= bound)).first()
+            checks.append((measure, share, below / rows <= share + error and upto / rows >= share - error))
+    trimmed = outliers.trim_quantiles(table, relative_error=error)
+    kept = trimmed.count() >= (1 - 3 * (0.02 + 2 * error)) * rows
+    return spark.createDataFrame([*checks, ("kept", 0.0, kept)], "measure string, probability double, within boolean")
+
+
+def _top_segment_profile_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """The sketched profile, with the rank of its percentile in place of the value."""
+    table = labeled(spark, sf)
+    found = segments.top_segment_profile(table, approximate=True)
+    bound = found.first()["p95_monetary"]
+    spend = F.round("monetary", 2)
+    within = (F.count_if(spend < bound) <= 0.96 * F.count(spend)) & (F.count_if(spend <= bound) >= 0.94 * F.count(spend))
+    rank = table.filter("segment = 'Champions'").agg(within.alias("within"))
+    return found.drop("p95_monetary").withColumn("p95_within", F.lit(rank.first()["within"]))
+
+
+def _train_test_random(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row once, with a mark of one side."""
+    marked = F.col("split").isin("train", "test").alias("marked")
+    return features.split_at_random(rfm(spark, sf)).select(*EXPORT_COLUMNS[:-1], marked)
+
+
 def _pca_projection(spark: SparkSession, sf: str) -> DataFrame:
     found = clustering.pca_projection(rfm(spark, sf))
     return _rounded(_rounded(found, 2, "pc1", "pc2"), 6, "pc1_ratio", "pc2_ratio")
@@ -175,7 +201,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_declared": _csv_declared,
         "snapshot_roundtrip": _snapshot_roundtrip,
         "export_segment": _export_segment,
-        "export_single_file": _export_single_file,
         "segment_archive": _segment_archive,
         "stage_counts": _stage_counts,
         "segment_summary": lambda s, d: segments.segment_summary(labeled(s, d), "Champions"),
@@ -217,7 +242,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_scaled": lambda s, d: _rounded(features.rfm_scaled(rfm(s, d)), 9, *[f"{m}_scaled" for m in MEASURES]),
         "rfm_log": lambda s, d: _rounded(features.rfm_log(rfm(s, d)), 9, *MEASURES),
         "train_test_split": lambda s, d: features.split_by_customer(rfm(s, d)),
-        "train_test_random": lambda s, d: features.split_at_random(rfm(s, d)),
+        "train_test_random": _train_test_random,
         # outliers
         "iqr_bounds": lambda s, d: _rounded(outliers.iqr_bounds(rfm(s, d)), 6, "q1", "q3", "lower_bound", "upper_bound"),
         "outlier_summary": lambda s, d: outliers.outlier_summary(rfm(s, d)),
@@ -225,8 +250,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_outliers_removed": lambda s, d: outliers.remove_outliers(rfm(s, d)),
         "rfm_outliers_removed_tight": lambda s, d: outliers.remove_outliers(rfm(s, d), factor=0.5),
         "quantile_trim": lambda s, d: outliers.trim_quantiles(rfm(s, d)),
-        "quantile_trim_approx": lambda s, d: outliers.trim_quantiles(rfm(s, d), relative_error=0.01),
+        "quantile_trim_approx": _quantile_trim_approx,
         "rfm_histogram": lambda s, d: outliers.histogram(rfm(s, d)),
+        "outlier_rows_tight": lambda s, d: outliers.outlier_rows(rfm(s, d), factor=0.5),
+        "outlier_histogram_tight": lambda s, d: outliers.histogram(outliers.outlier_rows(rfm(s, d), factor=0.5), bins=20),
         # segments
         "assign_to_centers": lambda s, d: assigned(s, d).drop(*[f"{m}_scaled" for m in MEASURES]),
         "silhouette": _silhouette,
@@ -237,8 +264,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_sizes": lambda s, d: segments.segment_sizes(labeled(s, d)),
         "segment_coverage": lambda s, d: segments.segment_coverage(labeled(s, d)),
         "top_segment_profile": lambda s, d: segments.top_segment_profile(labeled(s, d)),
-        "top_segment_profile_approx": lambda s, d: segments.top_segment_profile(labeled(s, d), approximate=True),
+        "top_segment_profile_approx": _top_segment_profile_approx,
         "segment_profile": lambda s, d: segments.cluster_profile(labeled(s, d)),
+        "segment_profile_log": lambda s, d: segments.cluster_profile(features.rfm_log(labeled(s, d))),
+        "segment_profile_norm_log": lambda s, d: segments.cluster_profile_normalised(features.rfm_log(labeled(s, d))),
         "segment_profile_norm": lambda s, d: segments.cluster_profile_normalised(labeled(s, d)),
         "kmeans_segments": _kmeans_segments,
         "select_k": _select_k,

@@ -13,7 +13,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'C' || l_orderkey
                     ELSE cast(l_orderkey AS varchar) END AS invoice,
                cast(l_partkey AS varchar) AS stock_code,
-               CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 89 = 0 THEN '  ' ELSE p_name END AS description,
+               CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 89 = 0 THEN '  '
+                    WHEN l_partkey % 83 = 0 THEN 'say "hi", ' || p_name ELSE p_name END AS description,
                cast(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -l_quantity
                          WHEN l_linenumber = 7 AND l_suppkey % 10 = 0 THEN 0
                          ELSE l_quantity END AS integer) AS quantity,
@@ -250,7 +251,6 @@ def _outlier_rows(factor: float) -> str:
 
 
 RAW = "invoice, stock_code, description, quantity, invoice_date, price, customer_id, country"
-NO_TEXT = "invoice, stock_code, quantity, invoice_date, price, customer_id, country"
 
 
 def expected_sql() -> dict[str, str]:
@@ -277,11 +277,11 @@ def expected_sql() -> dict[str, str]:
         SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab"""
     summary = f"""
         SELECT * FROM (
-        SELECT 'Total Customers' AS metric, cast(count(*) AS double) AS value FROM labeled WHERE segment = 'Champions'
-        UNION ALL SELECT 'Avg Recency (days)', round({_mean('recency')}, 1) FROM labeled WHERE segment = 'Champions'
-        UNION ALL SELECT 'Avg Frequency', round({_mean('frequency')}, 1) FROM labeled WHERE segment = 'Champions'
-        UNION ALL SELECT 'Avg Monetary', round({_mean('monetary')}, 0) FROM labeled WHERE segment = 'Champions'
-        UNION ALL SELECT '% of Total Base',
+        SELECT 'rows' AS metric, cast(count(*) AS double) AS value FROM labeled WHERE segment = 'Champions'
+        UNION ALL SELECT 'mean recency', round({_mean('recency')}, 1) FROM labeled WHERE segment = 'Champions'
+        UNION ALL SELECT 'mean frequency', round({_mean('frequency')}, 1) FROM labeled WHERE segment = 'Champions'
+        UNION ALL SELECT 'mean spend', round({_mean('monetary')}, 0) FROM labeled WHERE segment = 'Champions'
+        UNION ALL SELECT 'percent of all rows',
                          round(100.0 * count(*) FILTER (WHERE segment = 'Champions') / count(*), 1) FROM labeled)"""
     norm = ", ".join(
         f"round(({m} - min({m}) OVER ()) / nullif(max({m}) OVER () - min({m}) OVER (), 0), 6) AS {m}"
@@ -289,21 +289,23 @@ def expected_sql() -> dict[str, str]:
     )
     means = ", ".join(f"{_mean(m)} AS {m}" for m in ("recency", "frequency", "monetary"))
     rounded_means = ", ".join(f"round({_mean(m)}, 6) AS {m}" for m in ("recency", "frequency", "monetary"))
+    log_means = ", ".join(f"round(avg(ln(1 + {m})), 6) AS {m}" for m in ("recency", "frequency", "monetary"))
+    plain_log_means = ", ".join(f"avg(ln(1 + {m})) AS {m}" for m in ("recency", "frequency", "monetary"))
     describe = " UNION ALL ".join(
         f"SELECT '{m}' AS measure, count({m}) AS n, round({_mean(m)}, 4) AS mean, "
-        f"round(stddev_samp({m}), 4) AS stddev, cast(min({m}) AS double) AS min, cast(max({m}) AS double) AS max FROM rfm"
+        f"round(stddev_samp({m}), 4) AS stddev, cast(min({m}) AS double) AS min, cast(max({m}) AS double) AS max, "
+        f"cast(NULL AS varchar) AS first, cast(NULL AS varchar) AS last FROM rfm"
         for m in ("customer_id", "recency", "frequency", "monetary")
-    )
+    ) + " UNION ALL SELECT 'country', count(country), NULL, NULL, NULL, NULL, min(country), max(country) FROM rfm"
     members = "SELECT customer_id, country, recency, frequency, monetary, segment FROM labeled"
 
     return {
         # sources and sinks
         "transactions": q("tx", f"SELECT {RAW} FROM tx"),
-        "csv_inferred": q("tx", f"SELECT {NO_TEXT} FROM tx"),
+        "csv_inferred": q("tx", f"SELECT {RAW} FROM tx"),
         "csv_declared": q("tx", f"SELECT {RAW} FROM tx"),
         "snapshot_roundtrip": cleaned,
         "export_segment": q("labeled", f"{members} WHERE segment = 'Champions'"),
-        "export_single_file": q("labeled", f"{members} WHERE segment = 'Loyal'"),
         "segment_archive": q("labeled", f"SELECT *, replace(lower(segment), ' ', '_') AS segment_slug FROM ({members})"),
         "stage_counts": q(
             "quartiles",
@@ -442,6 +444,40 @@ def expected_sql() -> dict[str, str]:
                FROM edges e CROSS JOIN range(50) b(bin)
                LEFT JOIN counted c ON c.measure = e.measure AND c.bin = b.bin""",
         ),
+        "outlier_rows_tight": q("quartiles", f"SELECT * FROM rfm WHERE {_fenced(0.5)}"),
+        "outlier_histogram_tight": q(
+            "quartiles",
+            f""", out AS (SELECT * FROM rfm WHERE {_fenced(0.5)}),
+               values_out AS (SELECT 'recency' AS measure, cast(recency AS double) AS v FROM out
+                              UNION ALL SELECT 'frequency', cast(frequency AS double) FROM out
+                              UNION ALL SELECT 'monetary', monetary FROM out),
+               edges AS (SELECT measure, CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS low,
+                                CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS high
+                         FROM values_out GROUP BY measure),
+               counted AS (SELECT measure, least(cast(floor((v - low) / (high - low) * 20) AS integer), 19) AS bin,
+                                  count(*) AS n FROM values_out JOIN edges USING (measure) GROUP BY ALL)
+               SELECT m.measure, cast(b.bin AS integer) AS bin, coalesce(n, 0) AS rows
+               FROM (VALUES ('recency'), ('frequency'), ('monetary')) m(measure) CROSS JOIN range(20) b(bin)
+               LEFT JOIN counted c ON c.measure = m.measure AND c.bin = b.bin""",
+        ),
+        "kmeans_segments": q(
+            "quartiles",
+            f"SELECT customer_id, country, recency, frequency, monetary, true AS nearest FROM rfm WHERE NOT ({_fenced(1.5)})",
+        ),
+        "train_test_random": q("rfm", "SELECT customer_id, country, recency, frequency, monetary, true AS marked FROM rfm"),
+        "quantile_trim_approx": """SELECT measure, cast(probability AS double) AS probability, true AS within
+            FROM (VALUES ('recency', 0.01), ('recency', 0.99), ('frequency', 0.01), ('frequency', 0.99),
+                         ('monetary', 0.01), ('monetary', 0.99), ('kept', 0.0)) v(measure, probability)""",
+        "top_segment_profile_approx": q(
+            "labeled",
+            f"""SELECT round({_mean('recency')}, 1) AS avg_recency, round({_mean('frequency')}, 1) AS avg_frequency,
+                       round({_mean('monetary')}, 2) AS avg_monetary, true AS p95_within
+                FROM labeled WHERE segment = 'Champions'""",
+        ),
+        "segment_profile_log": q("labeled", f"SELECT prediction, {log_means} FROM labeled GROUP BY prediction"),
+        "segment_profile_norm_log": q(
+            "labeled", f"SELECT prediction, {norm} FROM (SELECT prediction, {plain_log_means} FROM labeled GROUP BY prediction)"
+        ),
         # segments
         "assign_to_centers": q("assigned", "SELECT customer_id, country, recency, frequency, monetary, prediction FROM assigned"),
         "silhouette": q("assigned", silhouette),

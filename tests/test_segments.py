@@ -58,11 +58,11 @@ def test_summary_and_coverage(spark):
     labeled = segments.label_clusters(three_clusters(spark))
     summary = dict(as_set(segments.segment_summary(labeled, "Promising")))
     assert summary == {
-        "Total Customers": 2.0,
-        "Avg Recency (days)": 55.0,
-        "Avg Frequency": 3.0,
-        "Avg Monetary": 300.0,
-        "% of Total Base": 50.0,
+        "rows": 2.0,
+        "mean recency": 55.0,
+        "mean frequency": 3.0,
+        "mean spend": 300.0,
+        "percent of all rows": 50.0,
     }
     assert {r.segment: r.coverage_pct for r in segments.segment_coverage(labeled).collect()} == {
         "Champions": 25.0,

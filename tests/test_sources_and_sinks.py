@@ -10,8 +10,8 @@ from tillroll.config import SegmentationConfig
 from tillroll.plans.segmentation import run_segmentation
 from tillroll.scratch import scratch_path, shared_folder
 from tillroll.sinks import archive as archives
-from tillroll.sinks.lists import export_segment, export_single_file
-from tillroll.sources.transactions import conform, read_snapshot, read_transactions
+from tillroll.sinks.lists import export_segment
+from tillroll.sources.transactions import conform, read_snapshot, read_transactions, stream_transactions
 
 LIST = "customer_id int, country string, recency int, frequency bigint, monetary double, segment string"
 
@@ -22,11 +22,59 @@ def labeled(spark):
     return spark.createDataFrame(rows, LIST)
 
 
-def test_csv_keeps_blank_and_missing_text_apart(spark, tmp_path):
-    df = transactions(spark, [line("1", text=None), line("2", text="  "), line("3", text='say "hi", then\nleave')])
-    df.write.csv(f"{tmp_path}/csv", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    back = spark.read.schema(df.schema).csv(f"{tmp_path}/csv", header=True, multiLine=True, escape="\\")
-    assert as_set(back) == as_set(df)
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+ROW = "489434,0012,BALLS,12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom"
+
+
+def sales(folder, *lines):
+    (folder / "sales.csv").write_text("\n".join(lines) + "\n")
+    return str(folder)
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_csv_texts_survive(spark, tmp_path, infer):
+    rows = [line("1", text=None), line("2", text="  "), line("3", text='"say ""hi"", you"'), line("4", text='say "hi", then\nleave')]
+    df = transactions(spark, rows)
+    df.write.options(**CSV).csv(f"{tmp_path}/csv")
+    assert as_set(read_transactions(spark, f"{tmp_path}/csv", "csv", infer=infer, multi_line=True)) == as_set(df)
+    df.filter("invoice <> '4'").write.options(**CSV).csv(f"{tmp_path}/plain")
+    assert as_set(read_transactions(spark, f"{tmp_path}/plain", "csv", infer=infer)) == as_set(df.filter("invoice <> '4'"))
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_csv_columns_are_found_by_header(spark, tmp_path, infer):
+    names, values = HEADER.split(","), ROW.split(",")
+    path = sales(tmp_path, ",".join([names[-1], *names[:-1]]), ",".join([values[-1], *values[:-1]]))
+    row = read_transactions(spark, path, "csv", infer=infer).first()
+    assert (row.invoice, row.stock_code, row.country, row.quantity) == ("489434", "0012", "United Kingdom", 12)
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_csv_without_a_declared_column_is_refused(spark, tmp_path, infer):
+    path = sales(tmp_path, HEADER.replace("Quantity", "Qty"), ROW)
+    with pytest.raises(ValueError, match="quantity"):
+        read_transactions(spark, path, "csv", infer=infer)
+
+
+def test_csv_with_a_malformed_value_or_broken_line_stops(spark, tmp_path):
+    for k, bad in enumerate((ROW.replace(",12,", ",12x,"), ROW.replace("BALLS", '"BALLS\nand more"'))):
+        (tmp_path / str(k)).mkdir()
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_transactions(spark, sales(tmp_path / str(k), HEADER, bad), "csv").collect()
+
+
+def test_stream_reads_the_same_csv(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    sales(tmp_path / "in", HEADER, ROW.replace("BALLS", '"say ""hi"", you"'))
+    stream = stream_transactions(spark, f"{tmp_path}/in", headers=HEADER.split(","))
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").option("path", f"{tmp_path}/out").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert as_set(spark.read.parquet(f"{tmp_path}/out")) == as_set(read_transactions(spark, f"{tmp_path}/in", "csv"))
+    assert spark.read.parquet(f"{tmp_path}/out").first().description == 'say "hi", you'
+    with pytest.raises(ValueError, match="country"):
+        stream_transactions(spark, f"{tmp_path}/in", headers=HEADER.split(",")[:-1])
 
 
 def test_read_several_files_and_repartition(spark, tmp_path, small_tx):
@@ -54,8 +102,11 @@ def test_workbook_headers(spark, tmp_path):
 
 
 def test_conform_keeps_order_of_the_declared_columns(spark):
-    df = conform(spark.createDataFrame([(1, "x")], "price int, invoice string"))
-    assert df.dtypes == [("invoice", "string"), ("price", "double")]
+    df = transactions(spark, [line()])
+    turned = conform(df.select(*reversed(df.columns)).withColumn("price", F.lit(1)))
+    assert turned.dtypes == df.dtypes
+    with pytest.raises(ValueError, match="price, country"):
+        conform(df.drop("country", "price"))
 
 
 def test_export_reports_counts_of_the_same_pass(spark, tmp_path, labeled):
@@ -70,14 +121,6 @@ def test_export_of_an_empty_segment(spark, tmp_path, labeled):
     assert report.exported == 0 and report.coverage_pct == 0.0
 
 
-def test_single_file_only_for_short_lists(spark, tmp_path, labeled):
-    rows = labeled.repartition(3)
-    assert export_single_file(rows, f"{tmp_path}/one")
-    assert len(list(Path(f"{tmp_path}/one").glob("part-*"))) == 1
-    assert not export_single_file(rows, f"{tmp_path}/many", max_rows=2)
-    assert spark.read.csv(f"{tmp_path}/many", header=True).count() == 3
-
-
 def test_snapshot_and_segment_folders(spark, tmp_path, labeled):
     archives.archive(labeled, str(tmp_path), "labeled", "r1")
     assert as_set(read_snapshot(spark, str(tmp_path), "labeled", "r1")) == as_set(labeled)

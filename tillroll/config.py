@@ -11,8 +11,10 @@ class SegmentationConfig:
     """Settings of one batch run.
 
     ``id_type`` is the type customer ids are cast to. Ids beyond the range of
-    ``int`` stop the job under ANSI mode instead of losing customers; choose
-    ``bigint`` for such key spaces.
+    ``int`` stop the job instead of losing customers; choose ``bigint`` for such
+    key spaces. ``fit_partitions`` is the number of partitions K-means is fitted
+    on; its result depends on it, so it is a setting of the run and of nothing
+    else.
     """
 
     source: str = "data/raw"
@@ -21,6 +23,7 @@ class SegmentationConfig:
     export_dir: str = "data/outputs"
     archive_raw: bool = True
 
+    # Fixed values from here to train_percent: the defaults results are compared with.
     id_type: str = "int"
     recency_max_days: int = 365
     iqr_factor: float = 1.5
@@ -30,6 +33,8 @@ class SegmentationConfig:
     max_iter: int = 20
     train_percent: int = 80
     sweep_parallelism: int = 4
+    fit_partitions: int = 32
+    init_mode: str = "k-means||"
 
     segment_names: tuple[str, ...] = SEGMENT_NAMES
     export_segments: tuple[str, ...] = ("Champions", "Loyal")

@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 # Amounts of one line, and of one customer, who may hold a third of all revenue. Sums widen by ten digits.
 LINE_MONEY = "decimal(18,4)"
 CUSTOMER_MONEY = "decimal(28,4)"
+# Means of measures, which may be logarithms.
+MEASURE = "decimal(28,10)"
+# The largest ids a floating value can hold of each type.
+ID_LIMITS = {"int": 2147483647.0, "bigint": 9223372036854774784.0}
 FLOATING = ("float", "double")
 
 
@@ -31,13 +35,27 @@ def line_value() -> Column:
 
 
 def exact_sum(amount: Column, kind: str = LINE_MONEY) -> Column:
-    """Sum in decimals, so that the result does not depend on the order of the rows."""
-    return F.sum(amount.cast(kind))
+    """Sum in decimals, so that the result does not depend on the order of the rows.
+
+    An amount that the type cannot hold stops the job, under any ANSI setting.
+    """
+    whole, digits = (int(x) for x in kind[len("decimal(") : -1].split(","))
+    fits = F.abs(amount) < F.lit(10.0 ** (whole - digits))
+    too_large = F.raise_error(F.concat(F.lit(f"amount beyond {kind}: "), amount.cast("string"))).cast(kind)
+    return F.sum(F.when(amount.isNull(), F.lit(None)).when(fits, amount.cast(kind)).otherwise(too_large))
+
+
+def checked_id(value: Column, id_type: str) -> Column:
+    """Cast an id; one beyond the type's range stops the job, under any ANSI setting."""
+    limit = F.lit(ID_LIMITS[id_type])
+    too_large = F.raise_error(F.concat(F.lit(f"customer id beyond {id_type}: "), value.cast("string"))).cast(id_type)
+    fits = F.abs(value.cast("double")) <= limit
+    return F.when(value.isNull(), F.lit(None)).when(fits, value.cast(id_type)).otherwise(too_large)
 
 
 def exact_mean(amount: Column) -> Column:
     """Mean over customers."""
-    return exact_sum(amount, CUSTOMER_MONEY).cast("double") / F.count(amount)
+    return exact_sum(amount, MEASURE).cast("double") / F.count(amount)
 
 
 def percent(part: Column, whole: Column) -> Column:

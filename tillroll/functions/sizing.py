@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 
 
 def partitions_for(df: DataFrame, rows_each: int) -> int:
-    """Enough partitions of about ``rows_each`` rows, up to the session's shuffle partitions.
+    """Enough partitions of about ``rows_each`` rows, whatever the session's setting.
 
     Counts the rows, so ``df`` should be cheap to read. Explicit partition
     numbers are not merged by adaptive execution; taking the session's number
-    as it is would cut small tables into very many pieces.
+    as it is would cut small tables into very many pieces, and large ones into
+    too few.
     """
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(most, math.ceil(df.count() / rows_each)))
+    return max(1, math.ceil(df.count() / rows_each))

@@ -12,10 +12,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.sizing import partitions_for
 from tillroll.schema import CUSTOMER_KEYS, MEASURES
 
-ROWS_PER_PARTITION = 50_000
+FIT_PARTITIONS = 32
 FEATURES = "features"
 SCALED = "scaled_features"
 
@@ -32,13 +31,30 @@ def kmeans(k: int, seed: int = 42, max_iter: int = 20) -> KMeans:
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=SCALED, predictionCol="prediction")
 
 
-def stable_layout(rfm: DataFrame) -> DataFrame:
-    """Fix which row lies where: K-means sums and its starting points depend on it."""
-    return rfm.repartition(partitions_for(rfm, ROWS_PER_PARTITION), *CUSTOMER_KEYS).sortWithinPartitions(*CUSTOMER_KEYS)
+def stable_layout(rfm: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Fix which row lies where: K-means sums and its starting points depend on it.
 
+    The number of partitions is stated, neither counted nor taken from the
+    session, so that clusters do not change with a cluster's settings.
+    """
+    return rfm.repartition(partitions, *CUSTOMER_KEYS).sortWithinPartitions(*CUSTOMER_KEYS)
 
-def fit_segments(train: DataFrame, k: int, seed: int = 42, max_iter: int = 20) -> PipelineModel:
-    return Pipeline(stages=[*feature_stages(), kmeans(k, seed, max_iter)]).fit(stable_layout(train))
+
+def fit_segments(
+    train: DataFrame,
+    k: int,
+    seed: int = 42,
+    max_iter: int = 20,
+    partitions: int = FIT_PARTITIONS,
+    init_mode: str = "k-means||",
+) -> PipelineModel:
+    """The rows are laid out once and kept while the scaler and K-means read them."""
+    laid_out = stable_layout(train, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stages = [*feature_stages(), kmeans(k, seed, max_iter).setInitMode(init_mode)]
+        return Pipeline(stages=stages).fit(laid_out)
+    finally:
+        laid_out.unpersist()
 
 
 def silhouette(predictions: DataFrame, features: str = SCALED) -> float:
@@ -52,6 +68,7 @@ def sweep_k(
     seed: int = 42,
     max_iter: int = 20,
     parallelism: int = 1,
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """Silhouette and within-cluster squared error per k: (k, silhouette, wssse).
 
@@ -59,7 +76,7 @@ def sweep_k(
     only K-means is fitted per k, up to ``parallelism`` fits at a time.
     """
     prepared = Pipeline(stages=feature_stages())
-    laid_out = stable_layout(rfm)
+    laid_out = stable_layout(rfm, partitions)
     scaled = prepared.fit(laid_out).transform(laid_out).select(SCALED).persist(StorageLevel.MEMORY_AND_DISK)
 
     @inheritable_thread_target(rfm.sparkSession)
@@ -95,6 +112,16 @@ def assign_to_centers(scaled: DataFrame, centers: Sequence[Sequence[float]]) ->
     return scaled.withColumn("prediction", F.array_min(F.array(*distances))["prediction"])
 
 
+def with_nearest(predictions: DataFrame, model: PipelineModel) -> DataFrame:
+    """Add ``nearest``: whether no fitted centre is nearer than that of the row's cluster."""
+    values = vector_to_array(SCALED)
+    distances = F.array(
+        *[sum(((values[i] - float(x)) ** 2 for i, x in enumerate(c)), F.lit(0.0)) for c in model.stages[-1].clusterCenters()]
+    )
+    own = F.get(distances, F.col("prediction"))
+    return predictions.withColumn("nearest", own <= F.array_min(distances) + 1e-9 * (1 + own))
+
+
 def silhouette_of_scaled(assigned: DataFrame) -> float:
     """Silhouette of rows that carry ``*_scaled`` columns instead of a vector."""
     vectors = VectorAssembler(inputCols=[f"{m}_scaled" for m in MEASURES], outputCol=SCALED).transform(assigned)

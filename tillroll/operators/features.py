@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import exact_mean, exact_sum, is_missing, is_usable_line, line_value
+from tillroll.functions.columns import checked_id, exact_mean, exact_sum, is_missing, is_usable_line, line_value
 from tillroll.schema import CUSTOMER_KEYS, MEASURES
 from tillroll.scratch import materialize
 
@@ -26,7 +26,7 @@ def clean(df: DataFrame, id_type: str = "int") -> DataFrame:
         .dropDuplicates()
         .withColumns(
             {
-                "customer_id": known_id.cast(id_type),
+                "customer_id": checked_id(known_id, id_type),
                 "quantity": F.col("quantity").cast("int"),
                 "total_price": line_value(),
                 "date": F.to_date("invoice_date"),
@@ -92,7 +92,7 @@ def rfm_scaled(rfm: DataFrame) -> DataFrame:
 
 
 def rfm_describe(rfm: DataFrame) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum per numeric column."""
+    """Count, mean, standard deviation, minimum and maximum per column; of ``country`` count, first and last value."""
     numeric = ["customer_id", *MEASURES]
     wide = rfm.agg(
         *[
@@ -103,11 +103,20 @@ def rfm_describe(rfm: DataFrame) -> DataFrame:
                 F.round(F.stddev_samp(m), 4).alias("stddev"),
                 F.min(m).cast("double").alias("min"),
                 F.max(m).cast("double").alias("max"),
+                F.lit(None).cast("string").alias("first"),
+                F.lit(None).cast("string").alias("last"),
             ).alias(m)
             for m in numeric
-        ]
+        ],
+        F.struct(
+            F.lit("country").alias("measure"),
+            F.count("country").alias("n"),
+            *[F.lit(None).cast("double").alias(c) for c in ("mean", "stddev", "min", "max")],
+            F.min("country").alias("first"),
+            F.max("country").alias("last"),
+        ).alias("country"),
     )
-    return wide.select(F.inline(F.array(*numeric)))
+    return wide.select(F.inline(F.array(*numeric, "country")))
 
 
 def split_by_customer(rfm: DataFrame, train_percent: int = 80, seed: int = 42) -> DataFrame:
@@ -122,5 +131,9 @@ def split_by_customer(rfm: DataFrame, train_percent: int = 80, seed: int = 42) -
 
 
 def split_at_random(rfm: DataFrame, train_percent: int = 80, seed: int = 42) -> DataFrame:
-    """Mark rows at random; as with ``randomSplit`` the outcome depends on the partitioning."""
-    return rfm.withColumn("split", F.when(F.rand(seed) * 100 < train_percent, "train").otherwise("test"))
+    """Mark rows at random; as with ``randomSplit`` the outcome depends on the partitioning.
+
+    The marks are written once: reading both sides neither loses nor doubles rows.
+    """
+    marked = rfm.withColumn("split", F.when(F.rand(seed) * 100 < train_percent, "train").otherwise("test"))
+    return materialize(marked, "random-split")

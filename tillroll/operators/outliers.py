@@ -78,17 +78,22 @@ def trim_quantiles(
     return rfm
 
 
+def outlier_rows(rfm: DataFrame, factor: float = 1.5) -> DataFrame:
+    """Rows outside the fences of any measure: what ``remove_outliers`` takes away."""
+    return rfm.filter(_any_outside(_fences(rfm, factor)))
+
+
 def histogram(rfm: DataFrame, bins: int = 50) -> DataFrame:
     """Equal-width bins per measure over its whole range, empty ones included; the last is closed.
 
     A measure with a single value has no range; its range is taken as one unit around the value.
     """
-    lows, highs = (
-        rfm.agg(*[edge(m).cast("double").alias(m) for m in MEASURES]).first() for edge in (F.min, F.max)
-    )
+    edges = rfm.agg(
+        *[edge(m).cast("double").alias(f"{m}_{name}") for m in MEASURES for name, edge in (("low", F.min), ("high", F.max))]
+    ).first()
     columns = []
     for m in MEASURES:
-        low, high = lows[m], highs[m]
+        low, high = edges[f"{m}_low"], edges[f"{m}_high"]
         if low == high and low is not None:
             low, high = low - 0.5, high + 0.5
         place = F.floor((F.col(m) - F.lit(low)) / (F.lit(high) - F.lit(low)) * bins)

@@ -5,7 +5,8 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.config import SegmentationConfig
 from tillroll.operators.clustering import choose_k, fit_segments, silhouette, sweep_k
@@ -34,7 +35,8 @@ def fit_and_label(
 ) -> tuple[DataFrame, PipelineModel, float]:
     """Fit on the train split, score on the test split, label every row."""
     split = split_by_customer(rfm, config.train_percent, config.seed)
-    model = fit_segments(split.filter("split = 'train'").drop("split"), k, config.seed, config.max_iter)
+    train = split.filter("split = 'train'").drop("split")
+    model = fit_segments(train, k, config.seed, config.max_iter, config.fit_partitions, config.init_mode)
     score = silhouette(model.transform(split.filter("split = 'test'").drop("split")))
     return label_clusters(model.transform(rfm), config.segment_names), model, score
 
@@ -45,13 +47,15 @@ def run_segmentation(spark: SparkSession, config: SegmentationConfig, run_id: st
     folder = config.archive_dir
 
     raw = read_transactions(spark, config.source, config.source_format)
+    seen = Observation()
+    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     if config.archive_raw:
         raw = archive(raw, folder, "raw_data", run_id)
     cleaned = archive(clean(raw, config.id_type), folder, "cleaned_transactions", run_id)
     all_rfm = archive(build_rfm(cleaned, recency_max_days=config.recency_max_days), folder, "rfm_all", run_id)
     rfm = archive(remove_outliers(all_rfm, config.iqr_factor), folder, "rfm_features", run_id)
 
-    scores = sweep_k(rfm, config.k_range, config.seed, config.max_iter, config.sweep_parallelism)
+    scores = sweep_k(rfm, config.k_range, config.seed, config.max_iter, config.sweep_parallelism, config.fit_partitions)
     best_k = choose_k(scores)
     predictions, model, score = fit_and_label(rfm, best_k, config)
     log.info("k=%d, silhouette on the test split %.4f", best_k, score)
@@ -64,7 +68,7 @@ def run_segmentation(spark: SparkSession, config: SegmentationConfig, run_id: st
         for name in config.export_segments
     ]
     counts = {
-        "total_raw_rows": raw.count(),
+        "total_raw_rows": seen.get["rows"],
         "cleaned_rows": cleaned.count(),
         "rfm_customers": all_rfm.count(),
         "final_customers": labeled.count(),

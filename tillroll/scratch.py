@@ -19,6 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+        # A folder named with file: is taken for a mount all nodes share; one without a scheme is not.
+        if scheme == "file" and not path.toUri().getScheme() and not context.master.startswith("local"):
+            raise RuntimeError(f"{folder} is a folder of each machine: name a shared one in spark.checkpoint.dir")
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")

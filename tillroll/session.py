@@ -13,8 +13,6 @@ def build_session(app_name: str = "tillroll", master: str | None = None, **conf:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     if master:
         builder = builder.master(master)

@@ -30,17 +30,7 @@ def export_segment(labeled: DataFrame, segment: str, path: str) -> ExportReport:
     counted = labeled.observe(
         seen, F.count(F.lit(1)).alias("customers"), F.count_if(member).alias("exported")
     )
-    export_rows(counted, segment).write.csv(path, header=True, mode="overwrite")
+    export_rows(counted, segment).write.csv(path, header=True, mode="overwrite", escape='"')
     report = ExportReport(segment, path, seen.get.get("exported", 0), seen.get.get("customers", 0))
-    log.info("exported %d '%s' customers (%.1f%% of total) to %s", report.exported, segment, report.coverage_pct, path)
+    log.info("list of segment %s: %d of %d rows, in %s", segment, report.exported, report.customers, path)
     return report
-
-
-def export_single_file(rows: DataFrame, path: str, max_rows: int = 1_000_000) -> bool:
-    """Write a short list as one CSV file; a list above ``max_rows`` stays in several files.
-
-    Returns whether one file was written. No row is left out either way.
-    """
-    small = rows.count() <= max_rows
-    (rows.coalesce(1) if small else rows).write.csv(path, header=True, mode="overwrite")
-    return small

@@ -51,7 +51,10 @@ def transactions_from_star(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(order.cast("string"))
         .alias("invoice"),
         part.cast("string").alias("stock_code"),
-        F.when(part % 97 == 0, F.lit(None)).when(part % 89 == 0, F.lit("  ")).otherwise(F.col("p_name")).alias("description"),
+        F.when(part % 97 == 0, F.lit(None)).when(part % 89 == 0, F.lit("  "))
+        .when(part % 83 == 0, F.concat(F.lit('say "hi", '), F.col("p_name")))
+        .otherwise(F.col("p_name"))
+        .alias("description"),
         F.when(cancelled, -F.col("l_quantity"))
         .when((line == 7) & (F.col("l_suppkey") % 10 == 0), F.lit(0.0))
         .otherwise(F.col("l_quantity"))

@@ -4,13 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.functions.columns import exact_sum
+from tillroll.functions.columns import MEASURE, exact_sum, is_missing
 
 
 def daily_revenue(
-    df: DataFrame, customer: str, time: str, amount: Column, late_by: str | None = None
+    df: DataFrame, customer: str, time: str, amount: Column, late_by: str | None = None, money: str = MEASURE
 ) -> DataFrame:
-    """Sum of ``amount`` per customer and day, without rows that name no customer.
+    """Sum of ``amount`` (held as ``money``) per customer and day, without rows that name no customer (null or NaN).
 
     With ``late_by`` days are closed that long after the newest row seen: their
     state is dropped and rows for them that come later are ignored. A stream
@@ -21,9 +21,9 @@ def daily_revenue(
         df = df.withWatermark(time, late_by)
     day = F.window(time, "1 day")
     return (
-        df.filter(F.col(customer).isNotNull())
+        df.filter(~is_missing(df, customer))
         .groupBy(customer, day.alias("day"))
-        .agg(F.round(exact_sum(amount), 2).cast("double").alias("revenue"))
+        .agg(F.round(exact_sum(amount, money), 2).cast("double").alias("revenue"))
         .select(customer, F.col("day.start").alias("day_start"), F.col("day.end").alias("day_end"), "revenue")
     )
 

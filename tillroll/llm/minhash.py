@@ -10,12 +10,13 @@ common buckets are compared by the Jaccard similarity of their shingle sets.
 
 Equal texts are one node. Instead of all pairs of a bucket, nodes are compared
 with few others at a time, and what is linked already is not compared again. In
-each bucket one component is the largest (at first one node). In light turns
-every node outside of it is compared with one of its members in some buckets;
-then, bucket by bucket, such nodes are compared with all of other components, a
+each bucket one component is the largest (at first one node). In a light turn
+every node outside of it is compared with one of its members in some buckets.
+Then, bucket by bucket, such nodes are compared with all of other components, a
 bounded number of them in a turn, until no bucket holds two components that have
-not been compared. So no link between components is lost, however large a bucket
-is, and a large group of copies costs a few comparisons per node.
+not been compared; pairs whose unshared shingles rule a link out are not formed.
+So no link between components is lost, however large a bucket is, and a large
+group of copies costs a few comparisons per node.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 28  # a pair of similarity 0.8 meets in one of them with probability 0.9998
 ROWS = 6
-LIGHT_TURNS = 2
-PIVOTS = 32  # nodes of a bucket that are compared with its other components at once
+PIVOTS = 256  # nodes of a bucket that are compared with its other components at once
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STRETCH = 1 << 20
 _SPACE = re.compile(rb"[\t-\r ]")
@@ -186,7 +186,7 @@ def link(buckets: DataFrame, shingled: DataFrame, threshold: float = SIMILARITY,
     left = buckets
     turn = 0
     while True:
-        known = left.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        known = left.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         parts = known.groupBy("key", "component").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("member")
         )
@@ -204,23 +204,42 @@ def link(buckets: DataFrame, shingled: DataFrame, threshold: float = SIMILARITY,
         left = materialize(known.join(sizes, "key").withColumn("is_pivot", chosen), "open-buckets")
         if left.isEmpty():
             return named
-        if turn < LIGHT_TURNS:
+        if turn == 0:
             pairs = _few(left.filter("component <> largest"))
+            left = left.select("key", "node")
         else:
-            around = left.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
-            pairs = left.filter("is_pivot").select("key", "node", "component").join(around, "key")
-            pairs = pairs.filter("component <> other_component").select(*_pair("node", "other")).distinct()
+            if turn == 1:
+                left = _linkable(left, shingled, threshold)
+            around = left.select("key", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "shared")])
+            # Two sets have at most as many shingles in common as either shares with any open node.
+            most = F.least("shared", "other_shared")
+            close = (1 + threshold) * most >= threshold * (F.col("size") + F.col("other_size")) - 1e-6
+            pairs = left.filter("is_pivot").join(around, "key").filter((F.col("component") != F.col("other_component")) & close)
+            pairs = pairs.select(*_pair("node", "other_node")).distinct()
             # What has been compared with all others of its bucket leaves it.
-            left = left.filter("not is_pivot")
+            left = left.filter("not is_pivot").select("key", "node", "size", "shared")
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         more = materialize(verified(pairs, shingled), "compared")
         compared = more.select("a", "b") if compared is None else compared.unionAll(more.select("a", "b"))
         named = _joined(named, more.filter(F.col("similarity") >= threshold))
-        left = left.select("key", "node")
         turn += 1
 
 
+def _linkable(left: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
+    """Add a node's number of shingles and of those that another open node has, too; drop nodes too few of whose are shared.
+
+    Exact: a similarity is at most the shared part of either set. It settles
+    most copies that differ too much from a large group without a comparison.
+    """
+    own = shingled.join(left.select("node").distinct(), "node").select("node", F.explode("shingles").alias("shingle"))
+    alone = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = shingled.select("node", F.size("shingles").alias("size")).join(alone, "node", "left")
+    sizes = sizes.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone")
+    return materialize(left.join(sizes, "node").filter(F.col("shared") >= threshold * F.col("size") - 1e-6), "linkable")
+
+
 def _few(outside: DataFrame) -> DataFrame:
     """For nodes outside of the largest component: pairs with its members in four of their buckets at most."""
     by_chance = [F.min(F.struct(F.xxhash64("member", F.lit(k)), "member"))["member"] for k in range(4)]

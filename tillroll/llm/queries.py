@@ -142,5 +142,60 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) AS i
+      FROM (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d)),
+by_word AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars,
+                   count(*) FILTER (WHERE length(w) > 1 AND upper(w) = w AND lower(w) <> w) AS n_upper_words
+            FROM w GROUP BY rid),
+windows AS (SELECT rid, i, w || ' ' || lead(w, 1) OVER p || ' ' || lead(w, 2) OVER p AS three
+            FROM w WINDOW p AS (PARTITION BY rid ORDER BY i)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, three) AS n FROM windows WHERE three IS NOT NULL)
+          WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) t(k) GROUP BY rid),
+lines AS (SELECT rid, count(*) AS n, count(*) - count(DISTINCT line) AS repeated
+          FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+counts AS (SELECT rid, doc_id, lang, source, cast(coalesce(n_words, 0) AS bigint) AS n_words,
+                  cast(coalesce(word_chars, 0) AS bigint) AS word_chars,
+                  length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                  coalesce(lines.n, 0) AS n_lines, coalesce(repeated, 0) AS n_dup_lines,
+                  coalesce(covered.n, 0) AS n_repeat_words, coalesce(n_upper_words, 0) AS n_upper_words
+           FROM d LEFT JOIN by_word USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+rates AS (SELECT rid, lang, source, base_failed,
+                 unnest(['word_length', 'symbols', 'dup_lines', 'repeats', 'upper_words']) AS rate,
+                 unnest([100 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_dup_lines // n_lines,
+                         1000 * n_repeat_words // n_words, 1000 * n_upper_words // n_words]) AS v
+          FROM judged WHERE NOT base_failed),
+bucketed AS (SELECT *, (v >> cast(greatest(length(bin(v)) - 6, 0) AS bigint)) << cast(greatest(length(bin(v)) - 6, 0) AS bigint) AS low
+             FROM rates),
+sketches AS (SELECT 0 AS level, lang, source, rate, low, count(*) AS n FROM bucketed GROUP BY ALL
+             UNION ALL SELECT 1, lang, '', rate, low, count(*) FROM bucketed GROUP BY ALL
+             UNION ALL SELECT 2, '', '', rate, low, count(*) FROM bucketed GROUP BY ALL),
+summed AS (SELECT *, sum(n) OVER (p ORDER BY low) AS upto, sum(n) OVER p AS everything
+           FROM sketches WINDOW p AS (PARTITION BY level, lang, source, rate)),
+quartiles AS (SELECT level, lang, source, rate, max(everything) AS rows_,
+                     min(low) FILTER (WHERE upto > (everything - 1) // 4) AS q1,
+                     min(low) FILTER (WHERE upto > (3 * (everything - 1)) // 4) AS q3
+              FROM summed GROUP BY ALL),
+fences AS (SELECT level, lang, source, rate, rows_, q1 - 5 * greatest(q3 - q1, least_spread) AS lowest,
+                  q3 + 5 * greatest(q3 - q1, least_spread) AS highest
+           FROM quartiles JOIN (VALUES ('word_length', 60), ('symbols', 40), ('dup_lines', 80), ('repeats', 60),
+                                       ('upper_words', 60)) s(rate, least_spread) USING (rate)),
+chosen AS (SELECT a.lang, a.source, a.rate,
+                  CASE WHEN a.rows_ >= 200 THEN a.lowest WHEN b.rows_ >= 200 THEN b.lowest ELSE c.lowest END AS lowest,
+                  CASE WHEN a.rows_ >= 200 THEN a.highest WHEN b.rows_ >= 200 THEN b.highest ELSE c.highest END AS highest
+           FROM fences a JOIN fences b ON b.level = 1 AND a.lang = b.lang AND a.rate = b.rate
+                JOIN fences c ON c.level = 2 AND a.rate = c.rate WHERE a.level = 0),
+verdict AS (SELECT rid, bool_and(low <= highest AND (rate <> 'word_length' OR low >= lowest)) AS inside
+            FROM bucketed JOIN chosen USING (lang, source, rate) GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper_words, base_failed,
+       coalesce(inside, false) AS kept
+FROM judged LEFT JOIN verdict USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_quality_rules": OP7_SQL}

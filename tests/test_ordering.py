@@ -11,7 +11,7 @@ from tillroll.functions.ordering import exact_quantiles, with_global_rank
 
 
 def quantiles(df, columns, ps):
-    return {(r["measure"], r["probability"]): r["value"] for r in exact_quantiles(df, columns, ps, rows_per_slot=30).collect()}
+    return {(r["measure"], r["probability"]): r["value"] for r in exact_quantiles(df, columns, ps, error=0.02).collect()}
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -48,12 +48,22 @@ def test_global_rank_and_running_sum(spark, n):
 
 def test_slots_are_not_sent_through_a_hash(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    ranked = with_global_rank(df, [F.col("v"), F.col("id")], rows_per_slot=100)
+    order = [F.col("v"), F.col("id")]
+    ranked = with_global_rank(df, order, rows_per_slot=100)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("BroadcastExchange")]
+    summed = with_global_rank(df, order, {"v": F.col("v")}, rows_per_slot=100)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
     top = plan[: plan.index("BroadcastExchange")]
     assert "shufflepartitionidpassthrough" in top and "hashpartitioning" not in top
 
 
+def test_ranks_outside_of_their_bracket_are_found_all_the_same(spark, monkeypatch):
+    df = spark.range(101).select(F.col("id").cast("double").alias("v"))
+    monkeypatch.setattr(type(df), "approxQuantile", lambda self, columns, ends, error: [[7.0] * len(ends)])
+    assert quantiles(df, ["v"], [0.25, 0.5]) == {("v", 0.25): 25.0, ("v", 0.5): 50.0}
+
+
 def test_equal_values_are_spread_over_slots(spark):
     """One value on all rows must not end in one partition."""
     from tillroll.functions.ordering import _place

@@ -1,13 +1,16 @@
 """Ranks, running totals and exact quantiles over a whole table.
 
 A window without PARTITION BY moves every row into one task. Here the table is
-range-partitioned on the sort key and written out together with the number of
-each row's partition. Totals per partition, one small row each, give the offset
-at which a partition starts; ranking inside the partitions is then parallel.
-Writing the table first freezes the partition numbers, so that the offsets and
-the rows always agree, also after a lost executor.
+range-partitioned and sorted on the key, and written out together with each
+row's place: the number of its partition and its position in it. Totals per
+partition, one small row each, give the offset at which a partition starts; a
+rank is that offset and the position. Writing the table first freezes the
+places, so that the offsets and the rows always agree, also after a lost
+executor. Exact quantiles need no order of the whole table at all: a sketch
+says between which values a rank must lie, and only rows there are looked at.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,13 +20,20 @@ from pyspark.sql.window import Window
 from tillroll.functions.sizing import partitions_for
 from tillroll.scratch import materialize
 
-_SLOT = "_slot"
+_SLOT, _POSITION = "_slot", "_position"
 ROWS_PER_SLOT = 100_000
+SKETCH_ERROR = 0.001
 
 
 def _place(df: DataFrame, order: Sequence[Column], slots: int, label: str) -> DataFrame:
-    placed = df.repartitionByRange(slots, *order).withColumn(_SLOT, F.spark_partition_id())
-    return materialize(placed, label)
+    """Rows with their slot and, from 0, their position in it; written in order."""
+    placed = df.repartitionByRange(slots, *order).sortWithinPartitions(*order)
+    # Numbers rows as they come: the partition in the upper bits, the position in the lower 33.
+    place = F.monotonically_increasing_id()
+    kept = materialize(placed.withColumn("_place", place), label)
+    return kept.withColumns(
+        {_SLOT: F.shiftright("_place", 33).cast("int"), _POSITION: F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))}
+    ).drop("_place")
 
 
 def with_global_rank(
@@ -53,11 +63,14 @@ def with_global_rank(
         *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_before") for n in names],
         *[F.sum(f"_{n}").over(every).alias(f"_{n}_total") for n in names],
     )
-    inside = Window.partitionBy(_SLOT).orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.join(F.broadcast(starts), _SLOT).repartitionById(slots, _SLOT).select(
+    ranked = placed.join(F.broadcast(starts), _SLOT)
+    rank = (F.col(_POSITION) + 1 + F.col("_rows_before")).alias("rank")
+    if not totals:
+        return ranked.select(*df.columns, rank, F.col("_rows_total").alias("row_total"))
+    upto = Window.partitionBy(_SLOT).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranked.repartitionById(slots, _SLOT).select(
         *df.columns,
-        (F.row_number().over(inside) + F.col("_rows_before")).alias("rank"),
+        rank,
         F.col("_rows_total").alias("row_total"),
         *[(F.sum(c).over(upto) + F.col(f"_{n}_before")).alias(f"{n}_running") for n, c in totals.items()],
         *[F.col(f"_{n}_total").alias(f"{n}_total") for n in totals],
@@ -68,61 +81,70 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    rows_per_slot: int = ROWS_PER_SLOT,
+    error: float = SKETCH_ERROR,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation: (measure, probability, value).
+    """Exact quantiles with linear interpolation: (measure, probability, value). Runs when called.
 
-    Equal values are counted before anything is sorted, so a value held by many
-    rows is one row here. The counts are kept, and ``df`` is read only once.
-    Only the partitions in which a wanted rank falls are ordered in the end.
+    A sketch of bounded size brackets each wanted rank: its values are off by
+    ``error`` times the number of rows at most. A second pass counts the rows
+    below each bracket and the values in it, about four times ``error`` of all
+    rows; the wanted ranks are found among those. If a rank were not in its
+    bracket, it would be looked for among all values. Nulls do not count, and a
+    column without values has no quantiles.
     """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "measure", "value"
-    )
-    counted = values.filter(F.col("value").isNotNull()).groupBy("measure", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    counted = materialize(counted, "value-counts")
-    slots = partitions_for(counted, rows_per_slot)
-    placed = _place(counted, [F.col("measure"), F.col("value")], slots, "quantiles")
+    spark = df.sparkSession
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    wanted = [float(p) for p in probabilities]
+    ends = [max(0.0, p - 2 * error) for p in wanted] + [min(1.0, p + 2 * error) for p in wanted]
+    sketched = numbers.approxQuantile(list(columns), ends, error)
+    brackets = {}
+    for column, values in zip(columns, sketched, strict=True):
+        for k, p in enumerate(wanted if values else ()):
+            low = values[k] if ends[k] > 0 else -math.inf
+            high = values[len(wanted) + k] if ends[len(wanted) + k] < 1 else math.inf
+            brackets[column, p] = (low, high)
+    found = _located(numbers, brackets)
+    missed = {key: (-math.inf, math.inf) for key in brackets if key not in found}
+    found |= _located(numbers, missed)
+    rows = [(column, p, value) for (column, p), value in found.items()]
+    return spark.createDataFrame(rows, "measure string, probability double, value double")
 
-    # At most (number of columns) x (number of partitions) rows.
-    by_measure = Window.partitionBy("measure")
-    before = by_measure.orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    bounds = placed.groupBy("measure", _SLOT).agg(F.sum("n").alias("n")).select(
-        "measure",
-        _SLOT,
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
-        (F.coalesce(F.sum("n").over(before), F.lit(0)) + F.col("n")).alias("stop"),
-        F.sum("n").over(by_measure).alias("total"),
-    )
-    # Two wanted ranks per column and probability, each inside one partition.
-    position = (F.col("total") - 1) * F.col("probability")
-    wanted = (
-        bounds.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("fraction", position - F.floor(position))
-        .withColumn("edge", F.explode(F.array(F.lit("low"), F.lit("high"))))
-        .withColumn("wanted_rank", F.when(F.col("edge") == "low", F.floor(position)).otherwise(F.ceil(position)))
-        .filter((F.col("wanted_rank") >= F.col("start")) & (F.col("wanted_rank") < F.col("stop")))
-        .select("measure", _SLOT, "start", "probability", "fraction", "edge", "wanted_rank")
-    )
-    touched = wanted.select("measure", _SLOT, "start").distinct()
-    upto = (
-        Window.partitionBy("measure", _SLOT)
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    located = placed.join(F.broadcast(touched), ["measure", _SLOT]).withColumn(
-        "stop", F.col("start") + F.sum("n").over(upto)
-    )
-    hit = (F.col("wanted_rank") >= F.col("stop") - F.col("n")) & (F.col("wanted_rank") < F.col("stop"))
-    low = F.max(F.when(F.col("edge") == "low", F.col("value")))
-    high = F.max(F.when(F.col("edge") == "high", F.col("value")))
-    return (
-        located.drop("start")
-        .join(F.broadcast(wanted.drop("start")), ["measure", _SLOT])
-        .filter(hit)
-        .groupBy("measure", "probability", "fraction")
-        .agg((low + (high - low) * F.col("fraction")).alias("value"))
-        .select("measure", "probability", "value")
-    )
+
+def _located(numbers: DataFrame, brackets: dict[tuple[str, float], tuple[float, float]]) -> dict[tuple[str, float], float]:
+    """Interpolated quantiles whose ranks lie in their brackets."""
+    if not brackets:
+        return {}
+    keys = list(brackets)
+    counts = numbers.agg(
+        *[F.count(c).alias(f"n{k}") for k, (c, _) in enumerate(keys)],
+        *[F.count_if(F.col(c) < brackets[c, p][0]).alias(f"below{k}") for k, (c, p) in enumerate(keys)],
+    ).first()
+    # The two ranks to interpolate between, counted from the bracket's first value.
+    ranks = {}
+    for k, (_, p) in enumerate(keys):
+        position = (counts[f"n{k}"] - 1) * p
+        ranks[k] = (math.floor(position) - counts[f"below{k}"], math.ceil(position) - counts[f"below{k}"], position % 1)
+    inside = [
+        F.when(F.col(c).between(*brackets[c, p]), F.struct(F.lit(k).alias("k"), F.col(c).alias("value")))
+        for k, (c, p) in enumerate(keys)
+    ]
+    values = numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("hit")).select("hit.*")
+    summed = values.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("k").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    table = summed.withColumn("stop", F.sum("n").over(upto))
+    hit = F.lit(False)
+    for k, (low, high, _) in ranks.items():
+        for rank in {low, high}:
+            hit = hit | ((F.col("k") == k) & (F.col("stop") - F.col("n") <= rank) & (F.lit(rank) < F.col("stop")))
+    # Two rows per column and probability at most.
+    located: dict[int, list] = {}
+    for row in table.filter(hit).collect():
+        located.setdefault(row.k, []).append(row)
+    found = {}
+    for k, (low, high, fraction) in ranks.items():
+        at = {
+            rank: next((r.value for r in located.get(k, ()) if r.stop - r.n <= rank < r.stop), None) for rank in (low, high)
+        }
+        if None not in at.values():
+            found[keys[k]] = at[low] + (at[high] - at[low]) * fraction
+    return found

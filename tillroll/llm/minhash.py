@@ -8,15 +8,12 @@ arrival of all components. Two texts agree in a component with the probability J
 similarity of their weights. Bands of components are bucket keys; pairs from
 common buckets are compared by the Jaccard similarity of their shingle sets.
 
-Equal texts are one node. Instead of all pairs of a bucket, nodes are compared
-with few others at a time, and what is linked already is not compared again. In
-each bucket one component is the largest (at first one node). In a light turn
-every node outside of it is compared with one of its members in some buckets.
-Then, bucket by bucket, such nodes are compared with all of other components, a
-bounded number of them in a turn, until no bucket holds two components that have
-not been compared; pairs whose unshared shingles rule a link out are not formed.
-So no link between components is lost, however large a bucket is, and a large
-group of copies costs a few comparisons per node.
+Equal texts are one node. Pairs of a bucket are never put out. First every node
+is compared with one member of some of its buckets, which joins most copies of a
+text. Then the buckets that still hold several components are cut into blocks,
+and a task compares the nodes outside of a bucket's largest component with a
+block of the bucket and puts out only links, one to each component. So no link
+between components is lost, however large a bucket is.
 """
 
 from __future__ import annotations
@@ -26,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
@@ -36,7 +33,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 28  # a pair of similarity 0.8 meets in one of them with probability 0.9998
 ROWS = 6
-PIVOTS = 256  # nodes of a bucket that are compared with its other components at once
+PIVOTS = 256  # nodes of a bucket that are compared with a block of it by one task
+BLOCK_SHINGLES = 500_000
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STRETCH = 1 << 20
 _SPACE = re.compile(rb"[\t-\r ]")
@@ -181,63 +179,84 @@ def _pair(one: str, other: str) -> list:
 
 def link(buckets: DataFrame, shingled: DataFrame, threshold: float = SIMILARITY, pivots: int = PIVOTS) -> DataFrame:
     """(node, component) of all nodes that have a link, from bucket rows (key, node)."""
-    named = components(shingled.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-    compared = None
-    left = buckets
-    turn = 0
-    while True:
-        known = left.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        parts = known.groupBy("key", "component").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("member")
-        )
-        sizes = parts.groupBy("key").agg(
-            F.sum("n").alias("n"), F.max(F.struct("n", "component", "member")).alias("largest"), F.count(F.lit(1)).alias("parts")
-        )
-        sizes = sizes.filter("parts > 1").select(
-            "key",
-            F.col("largest.component").alias("largest"),
-            F.col("largest.member.node").alias("member"),
-            (F.col("n") - F.col("largest.n")).alias("others"),
-        )
-        # All nodes outside of the largest component, or as many of them by chance.
-        chosen = (F.col("component") != F.col("largest")) & (F.pmod(F.xxhash64("node"), F.col("others")) < pivots)
-        left = materialize(known.join(sizes, "key").withColumn("is_pivot", chosen), "open-buckets")
-        if left.isEmpty():
-            return named
-        if turn == 0:
-            pairs = _few(left.filter("component <> largest"))
-            left = left.select("key", "node")
-        else:
-            if turn == 1:
-                left = _linkable(left, shingled, threshold)
-            around = left.select("key", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "shared")])
-            # Two sets have at most as many shingles in common as either shares with any open node.
-            most = F.least("shared", "other_shared")
-            close = (1 + threshold) * most >= threshold * (F.col("size") + F.col("other_size")) - 1e-6
-            pairs = left.filter("is_pivot").join(around, "key").filter((F.col("component") != F.col("other_component")) & close)
-            pairs = pairs.select(*_pair("node", "other_node")).distinct()
-            # What has been compared with all others of its bucket leaves it.
-            left = left.filter("not is_pivot").select("key", "node", "size", "shared")
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        more = materialize(verified(pairs, shingled), "compared")
-        compared = more.select("a", "b") if compared is None else compared.unionAll(more.select("a", "b"))
-        named = _joined(named, more.filter(F.col("similarity") >= threshold))
-        turn += 1
-
-
-def _linkable(left: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
-    """Add a node's number of shingles and of those that another open node has, too; drop nodes too few of whose are shared.
-
-    Exact: a similarity is at most the shared part of either set. It settles
-    most copies that differ too much from a large group without a comparison.
+    lowest = F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("member")
+    members = buckets.groupBy("key").agg(lowest)
+    pairs = _few(buckets.join(members, "key").filter("node <> member"))
+    compared = materialize(verified(pairs, shingled), "compared")
+    named = components(compared.filter(F.col("similarity") >= threshold))
+
+    known = buckets.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")
+    )
+    sizes = sizes.filter("parts > 1").select(
+        "key", F.col("largest.component").alias("largest"), (F.col("n") - F.col("largest.n")).alias("others")
+    )
+    left = known.join(sizes, "key").join(shingled, "node")
+    left = materialize(left.select("key", "node", "component", "shingles", "largest", "others"), "open-buckets")
+    links = materialize(_across(left, threshold, pivots), "further-links")
+    return _joined(named, links)
+
+
+def _across(left: DataFrame, threshold: float, pivots: int) -> DataFrame:
+    """Links (a, b) between the components of open buckets: of every node outside of the largest one, one to each other.
+
+    A bucket is cut into blocks of such nodes and blocks of all its nodes; each
+    pair of blocks is one task's group of bounded size, and only links leave it.
     """
-    own = shingled.join(left.select("node").distinct(), "node").select("node", F.explode("shingles").alias("shingle"))
-    alone = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
-    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = shingled.select("node", F.size("shingles").alias("size")).join(alone, "node", "left")
-    sizes = sizes.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0))).drop("alone")
-    return materialize(left.join(sizes, "node").filter(F.col("shared") >= threshold * F.col("size") - 1e-6), "linkable")
+    sizes = left.groupBy("key").agg(F.sum(F.size("shingles")).alias("total"), F.max("others").alias("others"))
+    sizes = sizes.select(
+        "key",
+        F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("n_blocks"),
+        F.ceil(F.col("others") / pivots).cast("int").alias("n_pivot_blocks"),
+    )
+    rows = left.join(sizes, "key")
+    own = ["key", "node", "component", "shingles"]
+
+    def each(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    members = rows.select(
+        *own,
+        F.lit(False).alias("is_pivot"),
+        F.pmod(F.xxhash64("node"), "n_blocks").cast("int").alias("block"),
+        each("n_pivot_blocks").alias("pivot_block"),
+    )
+    chosen = rows.filter("component <> largest").select(
+        *own,
+        F.lit(True).alias("is_pivot"),
+        F.pmod(F.xxhash64("node", F.lit(1)), "n_pivot_blocks").cast("int").alias("pivot_block"),
+        each("n_blocks").alias("block"),
+    )
+    groups = members.unionByName(chosen).groupBy("key", "block", "pivot_block")
+    return groups.applyInArrow(_linked(threshold), "a long, b long")
+
+
+def _linked(threshold: float):
+    def run(group: pa.Table) -> pa.Table:
+        is_pivot = group.column("is_pivot").to_numpy()
+        node, component = group.column("node").to_numpy(), group.column("component").to_numpy()
+        column = group.column("shingles").combine_chunks()
+        size = np.diff(column.offsets.to_numpy())
+        used, ids = np.unique(column.flatten().to_numpy(), return_inverse=True)
+        start = np.cumsum(size) - size
+        marked = np.zeros(len(used), np.int32)
+        a, b = [], []
+        for k in np.flatnonzero(is_pivot):
+            mine = ids[start[k] : start[k] + size[k]]
+            marked[mine] = 1
+            common = np.add.reduceat(marked[ids], start)
+            marked[mine] = 0
+            near = common >= threshold * (size[k] + size - common)
+            near &= ~is_pivot & (component != component[k])
+            at = np.flatnonzero(near)
+            for other in at[np.unique(component[at], return_index=True)[1]]:
+                a.append(node[k])
+                b.append(node[other])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def _few(outside: DataFrame) -> DataFrame:

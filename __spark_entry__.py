@@ -7,7 +7,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -84,12 +84,19 @@ def _segment_archive(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    raw = tx(spark, sf)
-    kept = features.clean(raw)
-    customers = features.build_rfm(kept)
-    return quality.stage_counts(
-        {"raw": raw, "cleaned": kept, "rfm": customers, "rfm_within_fences": outliers.remove_outliers(customers)}
-    )
+    """Counted while the customer totals are built: the transactions are read once."""
+    raw_rows, kept_rows = Observation(), Observation()
+    n = F.count(F.lit(1)).alias("rows")
+    customers = features.build_rfm(features.clean(tx(spark, sf).observe(raw_rows, n)).observe(kept_rows, n))
+    within = outliers.fences(customers)
+    last = customers.agg(F.count(F.lit(1)).alias("all")).first()["all"]
+    counts = {
+        "raw": raw_rows.get["rows"],
+        "cleaned": kept_rows.get["rows"],
+        "rfm": last,
+        "rfm_within_fences": outliers.within(customers, within).count(),
+    }
+    return spark.createDataFrame(list(counts.items()), "stage string, rows long")
 
 
 def _clean_nan(spark: SparkSession, sf: str) -> DataFrame:

@@ -86,6 +86,29 @@ def test_live_top_segment_equals_batch(spark, tmp_path, small_tx, model_path):
     assert found.count() > 0
 
 
+def test_live_list_keeps_saved_names_and_fences(spark, tmp_path, small_tx, small_rfm):
+    from tillroll.operators.outliers import fences, within
+    from tillroll.sinks.archive import write_rules
+
+    bounds = fences(small_rfm, 0.5)
+    labeled, model, _ = fit_and_label(within(small_rfm, bounds), k=3)
+    model.write().save(f"{tmp_path}/model")
+    write_rules(labeled, bounds, f"{tmp_path}/rules")
+    rows = small_tx.withColumn("description", F.lit("x"))
+    for half in (rows.filter("quantity % 2 = 0"), rows.filter("quantity % 2 <> 0")):
+        drop_in(half, f"{tmp_path}/in")
+        follow_top_segment(
+            stream_transactions(spark, f"{tmp_path}/in"), f"{tmp_path}/history", f"{tmp_path}/model", f"{tmp_path}/list",
+            f"{tmp_path}/state", rules_path=f"{tmp_path}/rules",
+        ).awaitTermination()
+    names = labeled.select("prediction", "segment").distinct()
+    batch = within(build_rfm(clean(rows)), bounds)
+    expected = export_rows(model.transform(batch).join(names, "prediction"), "Champions")
+    found = spark.read.schema(expected.schema).csv(f"{tmp_path}/list", header=True)
+    assert as_set(found) == as_set(expected) and found.count() > 0
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("list.")]
+
+
 def test_registered_stream_reads_the_given_events(spark):
     import __spark_entry__ as entry
 

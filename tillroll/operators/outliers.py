@@ -24,7 +24,7 @@ def iqr_bounds(rfm: DataFrame, factor: float = 1.5) -> DataFrame:
     )
 
 
-def _fences(rfm: DataFrame, factor: float) -> dict[str, tuple[float, float]]:
+def fences(rfm: DataFrame, factor: float = 1.5) -> dict[str, tuple[float, float]]:
     """The bounds as plain numbers, one row per measure; as literals they reach the scan."""
     return {r["measure"]: (r["lower_bound"], r["upper_bound"]) for r in iqr_bounds(rfm, factor).collect()}
 
@@ -45,8 +45,8 @@ def _any_outside(fences: dict[str, tuple[float, float]]) -> Column:
 
 def outlier_summary(rfm: DataFrame, factor: float = 1.5) -> DataFrame:
     """Rows outside the fences and their share, per measure and for ``any`` of them."""
-    fences = _fences(rfm, factor)
-    tests = {m: _outside(m, fences) for m in MEASURES} | {"any": _any_outside(fences)}
+    found = fences(rfm, factor)
+    tests = {m: _outside(m, found) for m in MEASURES} | {"any": _any_outside(found)}
     counts = rfm.agg(
         F.count(F.lit(1)).alias("customers"), *[F.count_if(test).alias(name) for name, test in tests.items()]
     )
@@ -57,7 +57,12 @@ def outlier_summary(rfm: DataFrame, factor: float = 1.5) -> DataFrame:
 
 def remove_outliers(rfm: DataFrame, factor: float = 1.5) -> DataFrame:
     """Rows within the fences of all measures, each (customer, country) row on its own."""
-    return rfm.filter(~_any_outside(_fences(rfm, factor)))
+    return within(rfm, fences(rfm, factor))
+
+
+def within(rfm: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Rows within given fences, for rows that come after those the fences were found on."""
+    return rfm.filter(~_any_outside(bounds))
 
 
 def trim_quantiles(
@@ -80,7 +85,7 @@ def trim_quantiles(
 
 def outlier_rows(rfm: DataFrame, factor: float = 1.5) -> DataFrame:
     """Rows outside the fences of any measure: what ``remove_outliers`` takes away."""
-    return rfm.filter(_any_outside(_fences(rfm, factor)))
+    return rfm.filter(_any_outside(fences(rfm, factor)))
 
 
 def histogram(rfm: DataFrame, bins: int = 50) -> DataFrame:

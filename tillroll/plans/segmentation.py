@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tillroll.config import SegmentationConfig
 from tillroll.operators.clustering import choose_k, fit_segments, silhouette, sweep_k
 from tillroll.operators.features import build_rfm, clean, split_by_customer
-from tillroll.operators.outliers import remove_outliers
+from tillroll.operators.outliers import fences, within
 from tillroll.operators.segments import label_clusters
-from tillroll.sinks.archive import archive, archive_by_segment, write_run_metadata
+from tillroll.sinks.archive import archive, archive_by_segment, write_rules, write_run_metadata
 from tillroll.sinks.lists import ExportReport, export_segment
 from tillroll.sources.transactions import read_transactions
 
@@ -53,7 +53,8 @@ def run_segmentation(spark: SparkSession, config: SegmentationConfig, run_id: st
         raw = archive(raw, folder, "raw_data", run_id)
     cleaned = archive(clean(raw, config.id_type), folder, "cleaned_transactions", run_id)
     all_rfm = archive(build_rfm(cleaned, recency_max_days=config.recency_max_days), folder, "rfm_all", run_id)
-    rfm = archive(remove_outliers(all_rfm, config.iqr_factor), folder, "rfm_features", run_id)
+    bounds = fences(all_rfm, config.iqr_factor)
+    rfm = archive(within(all_rfm, bounds), folder, "rfm_features", run_id)
 
     scores = sweep_k(rfm, config.k_range, config.seed, config.max_iter, config.sweep_parallelism, config.fit_partitions)
     best_k = choose_k(scores)
@@ -62,6 +63,7 @@ def run_segmentation(spark: SparkSession, config: SegmentationConfig, run_id: st
     model.write().overwrite().save(f"{folder}/model_{run_id}")
     labeled = archive(predictions, folder, "all_segments_labeled", run_id)
     archive_by_segment(labeled, f"{folder}/segments_{run_id}")
+    write_rules(labeled, bounds, f"{folder}/rules_{run_id}")
 
     exports = [
         export_segment(labeled, name, f"{config.export_dir}/{name.lower().replace(' ', '_')}_{run_id}")

@@ -8,7 +8,9 @@ column pruning and file statistics.
 import atexit
 import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +33,41 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scopes = threading.local()
+
+
+@contextlib.contextmanager
+def released() -> Iterator[None]:
+    """Intermediate tables made inside go when the block ends, not only with the driver; for work that repeats."""
+    outer, _scopes.made = getattr(_scopes, "made", None), []
+    try:
+        yield
+    finally:
+        for files, folder in _scopes.made:
+            _drop(files, folder)
+        _scopes.made = outer
+
+
+def publish(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of ``path`` by renaming: readers see the old or the new one, never a part."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    target, fresh, old = place(path), place(new), place(f"{path}.old-{uuid.uuid4().hex}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old) or not files.rename(fresh, target):
+        raise OSError(f"{new} could not be moved to {path}")
+    if replaced:
+        files.delete(old, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, in a folder of its own that goes when the driver ends."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tillroll-{label}-{uuid.uuid4().hex}")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    atexit.register(_drop, files, folder)
+    if getattr(_scopes, "made", None) is not None:
+        _scopes.made.append((files, folder))
+    else:
+        atexit.register(_drop, files, folder)
     return f"{folder.toString()}/data"
 
 

@@ -23,6 +23,21 @@ def archive_by_segment(labeled: DataFrame, path: str) -> None:
     labeled.withColumn("segment_slug", segment_slug()).write.mode("overwrite").partitionBy("segment_slug").parquet(path)
 
 
+def write_rules(labeled: DataFrame, bounds: dict[str, tuple[float, float]], path: str) -> None:
+    """What a saved model needs besides itself: the name of each cluster, and the fences of what it was fitted on."""
+    spark = labeled.sparkSession
+    labeled.select("prediction", "segment").distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/names")
+    rows = [(measure, float(low), float(high)) for measure, (low, high) in bounds.items()]
+    fields = "measure string, low double, high double"
+    spark.createDataFrame(rows, fields).coalesce(1).write.mode("overwrite").parquet(f"{path}/fences")
+
+
+def read_rules(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """Names (prediction, segment), a row per cluster, and fences by measure."""
+    bounds = {r.measure: (r.low, r.high) for r in spark.read.parquet(f"{path}/fences").collect()}
+    return spark.read.parquet(f"{path}/names"), bounds
+
+
 def write_run_metadata(spark: SparkSession, path: str, run_id: str, counts: dict[str, int], best_k: int) -> None:
     """One JSON document with the row count of each stage and the chosen k."""
     record = {"timestamp": run_id, **counts, "best_k": best_k}

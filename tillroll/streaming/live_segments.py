@@ -4,7 +4,8 @@ Distinct invoices cannot be counted by a streaming aggregate, and recency moves
 for every customer when a newer day arrives. So each micro-batch adds its usable
 lines to a table, and the RFM features are built from that table. The lines of a
 batch lie in a folder named after it: a batch that is run again after a failure
-replaces its own lines.
+replaces its own lines. Names and fences are those saved with the model, so a
+segment keeps its name and outliers stay out until a new model is put in place.
 """
 
 from collections.abc import Sequence
@@ -17,8 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll.config import SEGMENT_NAMES
 from tillroll.functions.columns import is_usable_line
 from tillroll.operators.features import build_rfm, clean
+from tillroll.operators.outliers import within
 from tillroll.operators.segments import label_clusters
 from tillroll.schema import TRANSACTIONS
+from tillroll.scratch import publish, released
+from tillroll.sinks.archive import read_rules
 from tillroll.sinks.lists import export_segment
 
 
@@ -31,16 +35,29 @@ def follow_top_segment(
     segment: str = SEGMENT_NAMES[0],
     names: Sequence[str] = SEGMENT_NAMES,
     id_type: str = "int",
+    rules_path: str | None = None,
 ) -> StreamingQuery:
-    """Score all customers with a saved model after each micro-batch and export one segment."""
+    """Score all customers with a saved model after each micro-batch and export one segment.
+
+    ``rules_path`` is what the batch job saved with the model; without it all
+    rows are scored and clusters are named anew by each batch. The list is
+    replaced as a whole: readers never see a part of it.
+    """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.filter(is_usable_line(batch)).write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
         lines = spark.read.schema(TRANSACTIONS).parquet(f"{history}/batch=*")
-        rfm = build_rfm(clean(lines, id_type))
-        predictions = PipelineModel.load(model_path).transform(rfm)
-        export_segment(label_clusters(predictions, names), segment, export_path)
+        with released():
+            rfm = build_rfm(clean(lines, id_type))
+            if rules_path:
+                saved, bounds = read_rules(spark, rules_path)
+                predictions = PipelineModel.load(model_path).transform(within(rfm, bounds))
+                labeled = predictions.join(F.broadcast(saved), "prediction", "left")  # a row per cluster
+            else:
+                labeled = label_clusters(PipelineModel.load(model_path).transform(rfm), names)
+            export_segment(labeled, segment, f"{export_path}.next")
+        publish(spark, f"{export_path}.next", export_path)
 
     return (
         stream.select(*[F.col(f.name) for f in TRANSACTIONS.fields])

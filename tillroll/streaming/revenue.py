@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.functions.columns import MEASURE, exact_sum, is_missing
+from tillroll.scratch import publish
 
 
 def daily_revenue(
@@ -31,12 +32,18 @@ def daily_revenue(
 def write_complete(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and keep the whole current result under ``path``.
 
-    Every micro-batch rewrites all rows. For long histories use ``write_closed_days``.
+    Every micro-batch rewrites all rows, beside the old ones, and then takes
+    their place. For long histories use ``write_closed_days``.
     """
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}.next")
+        publish(batch.sparkSession, f"{path}.next", path)
+
     return (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+        .foreachBatch(replace)
         .trigger(availableNow=True)
         .start()
     )

@@ -6,8 +6,9 @@ of the text's value minus threshold k, so the grades' order is kept for every
 text. It gives the expected grade, and the tail probability by which texts are
 selected.
 
-Features are character n-grams by how often they occur (damped, and scaled to
-unit length), and how often a word repeats the one before it.
+Features are hashed: character n-grams by how often they occur (damped, and
+scaled to unit length), and marks of how many words repeat the one before and of
+how many words there are.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ STEPS = 300
 RATE = 0.1
 PENALTY = 0.05
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_STEP_NUMBER = int(_STEP)
 _WINDOW = 1 << 20
+MARK = 0.5  # of the share of repeated words and of the number of words, in a vector of length 1
 
 
 class QualityModel(NamedTuple):
@@ -43,7 +46,7 @@ class QualityModel(NamedTuple):
 
 
 def features(text: str | None, bits: int = BITS) -> np.ndarray:
-    """A text's vector: single characters, pairs, and repeated words; a text without characters is the zero vector."""
+    """A text's vector: characters and pairs, and marks of its repeated words and length; without characters it is zero."""
     size = 1 << bits
     found = np.zeros(size)
     codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), "<u4")
@@ -54,12 +57,15 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
         two = (((part[:-1] * _STEP + part[1:]) ^ np.uint64(0x5BD1)) * _MIX) >> shift
         found += np.bincount(one.astype(np.int64), minlength=size)
         found += np.bincount(two.astype(np.int64), minlength=size)
-    words = (text or "").split()
-    again = sum(map(str.__eq__, words, words[1:]))
     found = np.log1p(found)
-    found[int(_MIX >> shift)] += np.log1p(again)
     length = np.sqrt((found**2).sum())
-    return found / length if length else found
+    found = found / length if length else found
+    words = (text or "").split()
+    if words:
+        again = sum(map(str.__eq__, words, words[1:])) / len(words)
+        for kind, level in ((1, int(8 * again)), (2, len(words).bit_length())):
+            found[(kind * 64 + level) * _STEP_NUMBER % (1 << 64) >> (64 - bits)] += MARK
+    return found
 
 
 def regress(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int, steps: int = STEPS) -> QualityModel:

@@ -280,8 +280,10 @@ def find_leaks(
 def _without(patterns, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = [not patterns.value.search(normal(text)) for text in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                clean = [not patterns.value.search(normal(text)) for text in part.column(at).to_pylist()]
+                yield part.filter(pa.array(clean, pa.bool_()))
 
     return run
 

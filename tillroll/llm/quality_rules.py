@@ -38,6 +38,7 @@ RATES = {
 }
 REACH = 5  # spreads beyond the quartile
 LEAST_ROWS = 200
+SLICE = 500  # rows that are held as Python texts at a time
 _LEADING = 6
 _STRIP = str.maketrans("", "", SYMBOLS)
 
@@ -71,12 +72,19 @@ def counts(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = zip(*map(counts, batch.column(0).to_pylist()), strict=True) if batch.num_rows else [()] * len(COUNTS)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[1:], *[pa.array(c, pa.int64()) for c in found]], names=[*batch.schema.names[1:], *COUNTS]
-        )
+def _counted(at: int, kept: list[str]):
+    """Counts of the text in column ``at``, behind the columns ``kept``, which come first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, SLICE):
+                part = batch.slice(begin, SLICE)
+                found = zip(*map(counts, part.column(at).to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[: len(kept)], *[pa.array(c, pa.int64()) for c in found]], names=[*kept, *COUNTS]
+                )
+
+    return run
 
 
 def bucket(value: Column) -> Column:
@@ -133,14 +141,13 @@ def judge(
     own, together with an empty one. Copies count each.
     """
     group = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_column, source_column)]
-    rows = documents.select(
-        F.col(text_column).alias("_text"),
-        group[0].alias("_lang"),
-        group[1].alias("_source"),
-        *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)],
-    )
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    found = rows.mapInArrow(_counted, fields + "".join(f", {c} long" for c in COUNTS))
+    # The text goes to the workers once, and back only if it is kept.
+    own = [group[0].alias("_lang"), group[1].alias("_source"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]]
+    rows = documents.select(*own, *([] if text_column in keep else [F.col(text_column).alias("_text")]))
+    at = 2 + keep.index(text_column) if text_column in keep else len(own)
+    kept = rows.columns[: len(own)]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(own)])
+    found = rows.mapInArrow(_counted(at, kept), fields + "".join(f", {c} long" for c in COUNTS))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     found = materialize(found.withColumn("base_failed", failed), "rule-counts")
 
@@ -168,6 +175,8 @@ def judge(
             .alias("_fences"),
         )
     )
+    # Written, so that Spark knows how small it is (a row per group) and leaves the documents where they are.
+    chosen = materialize(chosen, "rule-fences")
     inside = F.lit(True)
     for name, (rate, _, low) in RATES.items():
         value, fence = F.expr(rate), F.col("_fences")[name]

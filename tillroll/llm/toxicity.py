@@ -30,6 +30,7 @@ STEPS = 200
 RATE = 0.1
 PENALTY = 1.0
 THRESHOLD = 0.3
+SLICE = 500  # rows that are held as Python texts at a time
 
 
 class ToxicityModel(NamedTuple):
@@ -186,17 +187,21 @@ def score(
 ) -> DataFrame:
     """The columns in ``keep`` and ``score``, 0 to 1, of the whole text; null and empty texts get the intercept's score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    # The text goes to the workers once, and back only if it is kept.
+    kept = text_column in keep
+    rows = documents.select(*keep, *([] if kept else [F.col(text_column).alias("_scored")]))
+    at = keep.index(text_column) if kept else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, fitted = CharacterGrams(sizes, bits), shared.value
         for batch in batches:
-            found = [fitted.score(grams.slots(text)) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(found, pa.float64())], names=[*batch.schema.names[1:], "score"]
-            )
+            for begin in range(0, batch.num_rows, SLICE):
+                part = batch.slice(begin, SLICE)
+                found = [fitted.score(grams.slots(text)) for text in part.column(at).to_pylist()]
+                columns = part.columns[: len(keep)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], names=[*keep, "score"])
 
-    rows = documents.select(F.col(text_column).alias("_scored"), *[F.col(c) for c in keep])
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[: len(keep)])
     return rows.mapInArrow(run, fields + "score double")
 
 

@@ -248,7 +248,7 @@ def _linked(threshold: float):
             marked[mine] = 1
             common = np.add.reduceat(marked[ids], start)
             marked[mine] = 0
-            near = common >= threshold * (size[k] + size - common)
+            near = common / (size[k] + size - common) >= threshold
             near &= ~is_pivot & (component != component[k])
             at = np.flatnonzero(near)
             for other in at[np.unique(component[at], return_index=True)[1]]:
@@ -260,7 +260,7 @@ def _linked(threshold: float):
 
 
 def _few(outside: DataFrame) -> DataFrame:
-    """For nodes outside of the largest component: pairs with its members in four of their buckets at most."""
+    """For nodes with the chosen members of their buckets: pairs with four of those at most, taken by chance."""
     by_chance = [F.min(F.struct(F.xxhash64("member", F.lit(k)), "member"))["member"] for k in range(4)]
     found = outside.groupBy("node").agg(F.array(*by_chance).alias("members"))
     return found.select("node", F.explode(F.array_distinct("members")).alias("other")).select(*_pair("node", "other")).distinct()

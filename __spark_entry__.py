@@ -189,7 +189,7 @@ def _stream_csv_revenue(spark: SparkSession, sf: str) -> DataFrame:
 
 try:
     from tillroll.llm import queries as llm_queries
-except ModuleNotFoundError as missing:  # the subpackage and its pipeline can be left out
+except ImportError as missing:  # the subpackage and its pipeline can be left out
     if missing.name not in ("tillroll.llm", "corpus_pipeline"):
         raise
     llm_queries = None

@@ -98,7 +98,9 @@ class CachedTokenizer:
         self.model = self.tokenizer.model
         self.cut = _stretches(path)
         self.front = " " if self.cut is BYTE_LEVEL else ""  # a space belongs to the word behind it
-        self.letters = _byte_letters()
+        letters = _byte_letters()
+        # What a character's bytes look like to the model, for spaces and the characters of plain words.
+        self.shown = {code: "".join(letters[b] for b in chr(code).encode()) for code in range(0x20, 0x100)}
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = _Cache(self._word, entries)  # with the space in front of them
         self.stretches = _Cache(self._merged, entries)
@@ -113,6 +115,9 @@ class CachedTokenizer:
         self.stretches.turn()
         if self.front and SPACES.search(text):  # a run of white space is split by what is around it
             return self._cut(text)
+        if not self.front and text.isascii():  # all case is lost in the end
+            lower = text.lower()
+            text = text if any(special in lower for special in self.special) else lower
         first, *rest = text.split(" ")
         return self._cut(first) + b"".join(map(self.words.__getitem__, rest))
 
@@ -121,9 +126,10 @@ class CachedTokenizer:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word, or of what else stands between two spaces."""
-        if word.isascii() and word.isalpha():  # its bytes are its letters, but for the space
-            shown = self.letters[0x20] + word if self.front else word.lower()
-            return id_bytes([token.id for token in self.model.tokenize(shown)])
+        if PLAIN_WORD.fullmatch(word):
+            return self._plain(self.front + word)
+        if word[-1:] in (",", ".") and PLAIN_WORD.fullmatch(word[:-1]):
+            return self.words[word[:-1]] + self.stretches[word[-1]]
         found = self.cut.findall(self.front + word)
         if len(found) == 1:
             return self._merged(found[0])
@@ -133,11 +139,14 @@ class CachedTokenizer:
         return self.words[first] + b"".join(map(self.stretches.__getitem__, found[1:]))
 
     def _merged(self, stretch: str) -> bytes:
+        if PLAIN_WORD.fullmatch(stretch):
+            return self._plain(stretch)
+        return id_bytes(self.tokenizer.encode(stretch, add_special_tokens=False).ids)
+
+    def _plain(self, word: str) -> bytes:
         """A plain word is one piece, so it needs the model's merges only."""
-        if not PLAIN_WORD.fullmatch(stretch):
-            return id_bytes(self.tokenizer.encode(stretch, add_special_tokens=False).ids)
-        raw = (stretch if self.front else stretch.lower()).encode()
-        return id_bytes([token.id for token in self.model.tokenize("".join(map(self.letters.__getitem__, raw)))])
+        shown = (word if self.front else word.lower()).translate(self.shown)
+        return id_bytes([token.id for token in self.model.tokenize(shown)])
 
 
 @functools.cache

@@ -30,7 +30,7 @@ BYTE_LEVEL = re.compile(
 WORD_LEVEL = re.compile(rf"[{LETTER}]+(?![^,.\t-\r ])|[^\t-\r ]+")
 SPACES = re.compile(f"[{SPACE}]{{2}}")
 PLAIN_WORD = re.compile(f" ?[{LETTER}]+")
-ENTRIES = 400_000
+ENTRIES = 200_000
 _WORD = "I" if array("I").itemsize == 4 else "L"
 
 

@@ -194,6 +194,12 @@ _BLOCK_SCHEMA = pa.schema(
 )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch, few of them as Python values at a time."""
+    for at in range(0, batch.num_rows, 500):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True)
+
+
 def _encoded(frequencies, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = open_table(frequencies.value)
@@ -206,7 +212,7 @@ def _encoded(frequencies, block_ids: int):
                 yield pa.RecordBatch.from_pylist([_block(shard, first, doc_ids, parts, table)], schema=_BLOCK_SCHEMA)
 
         for batch in batches:
-            for s, doc_id, start, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for s, doc_id, start, ids in _rows(batch):
                 if s != shard or start != following or size >= block_ids:
                     yield from close()
                     shard, first, size, doc_ids, parts = s, start, 0, [], []
@@ -261,7 +267,7 @@ def _decoded(frequencies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = open_table(frequencies.value)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 if zlib.crc32(row["states"], zlib.crc32(row["words"])) != row["words_crc32"]:
                     raise ValueError(f"damaged words in the block at {row['start']} of shard {row['shard']}")
                 words, states = np.frombuffer(row["words"], "<u4"), np.frombuffer(row["states"], "<u8")

@@ -83,6 +83,23 @@ def test_classes_are_those_of_brute_force(spark, copies):
     assert found == brute_classes(copies, 0.8)
 
 
+def test_copies_that_repeat_a_passage_are_found(spark):
+    """Shingle sets of similarity 0.8 and more, with common shingles that one text has many times."""
+    rng = random.Random(12)
+    texts = {}
+    for k in range(60):
+        base = words(rng, 200, 5000).split()
+        other = base[:]
+        for at in rng.sample(range(60, 200), k % 4):
+            other[at] = f"n{rng.randrange(10**6)}"
+        texts[2 * k] = " ".join(base)
+        texts[2 * k + 1] = " ".join(other[:40] * (5, 50, 1000)[k % 3] + other)
+    wanted = brute_classes(texts, 0.8)
+    assert len(set(wanted.values())) == 60
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in minhash.classes(documents).collect()} == wanted
+
+
 def test_few_pivots_lose_no_link(spark, copies):
     """Every pair of a bucket is settled, whatever the number of rounds."""
     rng = random.Random(8)

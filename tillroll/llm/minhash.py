@@ -1,12 +1,13 @@
-"""Near duplicates by ProbMinHash of weighted shingles, banding and verification.
+"""Near duplicates by ProbMinHash of shingles, banding and verification.
 
-A shingle is five words, its weight 1 and the log of how often the text has it.
-Each shingle is a Poisson process with its weight as rate: its arrivals fall on
-random components, and every component keeps the shingle that arrives first. A
-shingle is followed only until its next arrival comes after the latest first
-arrival of all components. Two texts agree in a component with the probability Jaccard
-similarity of their weights. Bands of components are bucket keys; pairs from
-common buckets are compared by the Jaccard similarity of their shingle sets.
+A shingle is five words. Each shingle is a Poisson process with its weight as
+rate: its arrivals fall on random components, and every component keeps the
+shingle that arrives first. A shingle is followed only until its next arrival
+comes after the latest first arrival of all components. Two texts agree in a
+component with the probability Jaccard similarity of their weights. Every shingle
+weighs 1, however often a text repeats it: then that is the Jaccard similarity of
+the shingle sets, by which pairs from common buckets are compared. Bands of
+components are bucket keys.
 
 Equal texts are one node. Pairs of a bucket are never put out. First every node
 is compared with one member of some of its buckets, which joins most copies of a
@@ -31,7 +32,7 @@ from tillroll.scratch import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 28  # a pair of similarity 0.8 meets in one of them with probability 0.9998
+BANDS = 28  # a pair of set similarity 0.8 meets in one of them with probability 0.9998
 ROWS = 6
 PIVOTS = 256  # nodes of a bucket that are compared with a block of it by one task
 BLOCK_SHINGLES = 500_000
@@ -89,18 +90,16 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(found)
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of a text's shingles and how often each occurs; a shorter text is one shingle, no words are none."""
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Sorted hashes of a text's shingles, each once; a shorter text is one shingle, no words are none."""
     hashes = word_hashes(text)
     if not len(hashes):
-        return hashes, np.zeros(0, np.int64)
+        return hashes
     n = max(1, len(hashes) - size + 1)
     value = hashes[:n].copy()
     for k in range(1, min(size, len(hashes))):
         value = value * _GOLDEN + hashes[k : k + n]
-    value = np.sort(mixed(value))
-    fresh = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-    return value[fresh], np.diff(np.append(fresh, n))
+    return np.unique(mixed(value))
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
@@ -141,8 +140,8 @@ def _signed(bands: int, rows: int, size: int):
         for batch in batches:
             keys = []
             for text in batch.column(0).to_pylist():
-                elements, times = shingles(text, size)
-                found = signature(elements, 1.0 + np.log(times), bands * rows) if len(elements) else None
+                elements = shingles(text, size)
+                found = signature(elements, np.ones(len(elements)), bands * rows) if len(elements) else None
                 keys.append(None if found is None else band_keys(found, bands, rows))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "keys"]
@@ -156,7 +155,7 @@ def _shingled(size: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = [shingles(text, size)[0].view(np.int64) for text in part.column(1).to_pylist()]
+                found = [shingles(text, size).view(np.int64) for text in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"]
                 )

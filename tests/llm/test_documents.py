@@ -197,6 +197,19 @@ def test_every_window_within_its_budget_is_found():
         assert bool(patterns.search(text)) == want, trial
 
 
+def test_quotes_of_a_windows_length_are_found_at_every_offset():
+    rng = random.Random(13)
+    item = decontamination.normal(words(rng, 60, 5000))
+    patterns = decontamination.Patterns([(1, item)])
+    before, after = (decontamination.normal(words(rng, 40, 5000)) for _ in range(2))
+    for at in range(len(item) - 99):
+        for quote in (item[at : at + 100], changed(rng, item[at : at + 100], 8)):
+            hits = patterns.search(before + quote + after)
+            assert [h.item for h in hits] == [1], at
+            assert abs(hits[0].start - len(before)) <= 24 and abs(hits[0].stop - len(before + quote)) <= 24
+        assert not patterns.search(before + item[at : at + 60] + after), at
+
+
 def test_leaks_are_reported_where_they_are(spark, odd):
     rng = random.Random(2)
     items = {k: words(rng, 30, 5000) for k in range(5)} | {7: "Ab!", 8: None, 9: "..."}

@@ -4,8 +4,10 @@ An alignment of a pattern of m characters with at most k edits leaves at least
 m - q + 1 - k q of its q-grams whole, all on diagonals that differ by k at most.
 Diagonals are therefore counted in overlapping bands, twice as wide as that;
 bands that reach the bound are aligned within their diagonals. Nothing within
-the edit budget is missed. Long items are cut into overlapping windows, so a
-part of an item is found as well.
+the edit budget is missed. Of a long item every window, at every offset, is a
+pattern: q-grams are counted per item, and those of a band that lie close enough
+to be in one window tell which windows are aligned, all of them at once. So any
+part of an item of a window's length is found as well.
 
 Items are the stated query set: they go to all tasks in blocks of bounded size,
 and every document is compared with every block.
@@ -27,7 +29,8 @@ WINDOW = 100
 EDITS = 0.08  # of a pattern's characters
 BLOCK_CHARS = 4_000_000
 _BITS = 22
-_OFFSET_BITS, _BAND_BITS = 8, 33  # a pattern has at most 256 q-grams
+_OFFSET_BITS, _BAND_BITS = 32, 33
+_AT_ONCE = 1024  # windows that are aligned together
 _FAR = 1 << 31
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _GAPS = re.compile(r"[\W_]+")
@@ -68,29 +71,27 @@ class Hit(NamedTuple):
     start: int  # in the normal form
     stop: int
     edits: int
+    windows: int
 
 
 class Patterns:
-    """Windows of a block of items, indexed by q-gram."""
+    """Items of a block, indexed by q-gram; the patterns are all their windows."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, edits: float = EDITS) -> None:
-        if window >= 1 << _OFFSET_BITS:
-            raise ValueError("windows have to be shorter")
-        self.item, self.codes, self.budget, self.least = [], [], [], []
+        self.item, self.whole = [], []
         self.phrases = []  # too short for a q-gram: found as whole words
         for item, text in items:
             form = normal(text)
             if form and len(form) < Q:
                 self.phrases.append((item, f" {form} "))
-            for a in self._starts(len(form), window) if len(form) >= Q else ():
-                codes = _codes(form[a : a + window])
-                m = len(codes)
-                budget = min(int(m * edits), (m - Q) // Q)
+            if len(form) >= Q:
                 self.item.append(item)
-                self.codes.append(codes)
-                self.budget.append(budget)
-                self.least.append(m - Q + 1 - budget * Q)
-        grams = [_grams(c) for c in self.codes]
+                self.whole.append(_codes(form))
+        self.length = np.array([len(c) for c in self.whole], np.int64)
+        self.size = np.minimum(self.length, window)  # of an item's windows
+        self.allowed = np.minimum((self.size * edits).astype(np.int64), (self.size - Q) // Q)
+        self.bound = self.size - Q + 1 - self.allowed * Q
+        grams = [_grams(c) for c in self.whole]
         sizes = [len(g) for g in grams]
         joined = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(grams)), sizes)
@@ -100,21 +101,24 @@ class Patterns:
         self.owner, self.offset = owner[order], offset[order]
         self.maybe = np.zeros(1 << _BITS, bool)
         self.maybe[(self.gram >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        self.stride = np.array(self.budget, np.int64) + 1
-        self.bound = np.array(self.least, np.int64)
-        self.fewest = min(self.least, default=0)
-        self.reach = max((len(c) + k for c, k in zip(self.codes, self.budget, strict=True)), default=0)
+        self.stride = self.allowed + 1
+        self.fewest = int(self.bound.min(initial=1 << 30))
+        self.reach = int((self.size + self.allowed).max(initial=0))
 
-    @staticmethod
-    def _starts(length: int, window: int) -> list[int]:
-        if length <= window:
-            return [0]
-        return sorted({*range(0, length - window, window // 2), length - window})
+    @property
+    def codes(self) -> list[np.ndarray]:
+        """All windows of all items."""
+        return [c[a : a + m] for c, m in zip(self.whole, self.size.tolist(), strict=True) for a in range(len(c) - m + 1)]
+
+    @property
+    def budget(self) -> list[int]:
+        """Edits allowed in each of them."""
+        return np.repeat(self.allowed, self.length - self.size + 1).tolist()
 
     def _dense(self, hit: np.ndarray) -> np.ndarray:
         """Places of q-grams of any pattern that lie in a stretch, as long as any alignment, with enough of them."""
         before = np.concatenate([[0], np.cumsum(hit)])
-        if not self.codes or before[-1] < self.fewest:
+        if not self.whole or before[-1] < self.fewest:
             return np.zeros(0, np.int64)
         if len(hit) > self.reach:
             full = before[self.reach :] - before[: -self.reach] >= self.fewest
@@ -124,8 +128,8 @@ class Patterns:
             hit = hit & (np.cumsum(edges)[:-1] > 0)
         return np.flatnonzero(hit)
 
-    def bands(self, grams: np.ndarray) -> list[tuple[int, int, int]]:
-        """(pattern, lowest, highest diagonal) where as many of the pattern's q-grams occur as the bound asks for.
+    def bands(self, grams: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(item's place, lowest, highest diagonal, first, last window) where as many q-grams of a window occur as the bound asks for.
 
         Bands that reach the bound and touch are one.
         """
@@ -147,34 +151,78 @@ class Patterns:
         enough = _runs(np.sort(key), self.bound)
         if not len(enough):
             return []
-        # In what is left a q-gram of the pattern counts once.
+        # In what is left a q-gram of an item counts once.
         left = np.isin(key, enough)
-        once = np.unique((key[left] << _OFFSET_BITS) + offset[left]) >> _OFFSET_BITS
-        key = _runs(once, self.bound)
-        owner, band = key >> _BAND_BITS, (key & ((1 << _BAND_BITS) - 1)) - _FAR
-        joined: list[tuple[int, int, int]] = []
-        for pattern, b in zip(owner.tolist(), band.tolist(), strict=True):
-            stride = int(self.stride[pattern])
+        once = np.unique((np.searchsorted(enough, key[left]) << _OFFSET_BITS) + offset[left])
+        rank, offset = once >> _OFFSET_BITS, once & ((1 << _OFFSET_BITS) - 1)
+        owner = enough[rank] >> _BAND_BITS
+        # Each with the one that completes the bound: both have to be q-grams of one window.
+        last = np.arange(len(once)) + self.bound[owner] - 1
+        inside = last < len(once)
+        last[~inside] = 0
+        span = self.size[owner] - Q
+        inside &= (rank[last] == rank) & (offset[last] - offset <= span)
+        first = np.maximum(offset[last] - span, 0)[inside]
+        final = np.minimum(offset, self.length[owner] - self.size[owner])[inside]
+        owner, band = owner[inside], (enough[rank[inside]] & ((1 << _BAND_BITS) - 1)) - _FAR
+        joined: list[tuple[int, int, int, int, int]] = []
+        for place, b, one, other in zip(owner.tolist(), band.tolist(), first.tolist(), final.tolist(), strict=True):
+            stride = int(self.stride[place])
             low, high = b * stride, (b + 2) * stride - 1
-            if joined and joined[-1][0] == pattern and low <= joined[-1][2] + 1:
-                joined[-1] = (pattern, joined[-1][1], high)
+            if joined and joined[-1][0] == place and low <= joined[-1][2] + 1:
+                _, lowest, _, begin, end = joined[-1]
+                joined[-1] = (place, lowest, high, min(begin, one), max(end, other))
             else:
-                joined.append((pattern, low, high))
+                joined.append((place, low, high, one, other))
         return joined
 
     def search(self, form: str) -> list[Hit]:
-        """All windows and phrases found in a normal form; one hit per place."""
-        hits = [Hit(i, at, at + len(p) - 2, 0) for i, p in self.phrases if (at := f" {form} ".find(p)) >= 0]
+        """All phrases and stretches of windows found in a normal form; one hit per place."""
+        hits = [Hit(i, at, at + len(p) - 2, 0, 1) for i, p in self.phrases if (at := f" {form} ".find(p)) >= 0]
         codes = _codes(form)
         best: dict[tuple[int, int], Hit] = {}
-        for pattern, low, high in self.bands(_grams(codes)):
-            aligned = align(self.codes[pattern], codes, low, high, self.budget[pattern])
-            if aligned is not None:
-                start, stop, edits = aligned
-                best.setdefault((pattern, stop), Hit(self.item[pattern], start, stop, edits))
+        for place, low, high, first, final in self.bands(_grams(codes)):
+            whole, m, budget = self.whole[place], int(self.size[place]), int(self.allowed[place])
+            rows = [
+                _ends(whole, m, codes, low - budget, high - low + 1 + 2 * budget, a, min(a + _AT_ONCE, final + 1))
+                for a in range(first, final + 1, _AT_ONCE)
+            ]
+            edits, stop = (np.concatenate(c) for c in zip(*rows, strict=True))
+            near = np.flatnonzero(edits <= budget)
+            if len(near):
+                # The stretch begins where the alignment of the window that ends first does.
+                one = int(near[stop[near].argmin()])
+                start = _begin(whole[first + one : first + one + m], codes, int(stop[one]), budget)
+                end = int(stop[near].max())
+                best.setdefault((place, end), Hit(self.item[place], start, end, int(edits[near].min()), len(near)))
         return hits + list(best.values())
 
 
+def _ends(
+    whole: np.ndarray, m: int, text: np.ndarray, low: int, width: int, first: int, stop: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(edits, end in the text) of the best alignments of the windows that begin at first to stop - 1 of an item.
+
+    Diagonals are those of the item. A row holds a diagonal for all windows,
+    less the diagonal's number, so that characters that the text has more cost nothing.
+    """
+    n = stop - first
+    padded = np.zeros(n + m + width, np.int64)  # text from place ``low + first``; no character is 0
+    a, b = max(0, low + first), min(len(text), low + first + len(padded))
+    if a < b:
+        padded[a - low - first : b - low - first] = text[a:b]
+    seen = np.lib.stride_tricks.sliding_window_view(padded, n)
+    steps = np.arange(width, dtype=np.int32)[:, None]
+    row = np.repeat(-steps, n, axis=1)
+    for i in range(m):
+        change = row + (seen[i : i + width] != whole[first + i : first + i + n])
+        np.minimum(change[:-1], row[1:] + 2, out=change[:-1])  # the pattern's character is missing
+        row = np.minimum.accumulate(change, axis=0)
+    row += steps
+    at = row.argmin(axis=0)
+    return row[at, np.arange(n)], np.minimum(len(text), low + np.arange(first, stop) + at + m)
+
+
 def _last_row(pattern: np.ndarray, text: np.ndarray, low: int, width: int) -> np.ndarray:
     """Edits of the whole pattern against text that begins anywhere on the diagonals, by the diagonal it ends on."""
     m = len(pattern)
@@ -191,20 +239,12 @@ def _last_row(pattern: np.ndarray, text: np.ndarray, low: int, width: int) -> np
     return row
 
 
-def align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
-    """(start, stop, edits) of the best alignment on diagonals low..high, widened by the budget; None beyond the budget."""
-    low, width = low - budget, high - low + 1 + 2 * budget
-    row = _last_row(pattern, text, low, width)
-    at = int(row.argmin())
-    if row[at] > budget:
-        return None
-    stop = min(len(text), low + at + len(pattern))
-    # Backwards from the end found, to where the alignment begins.
+def _begin(pattern: np.ndarray, text: np.ndarray, stop: int, budget: int) -> int:
+    """Where the best alignment that ends at ``stop`` begins."""
     back = text[max(0, stop - len(pattern) - budget) : stop][::-1]
     begin = _last_row(pattern[::-1], back, -budget, 2 * budget + 1)
     fixed = begin + np.abs(np.arange(2 * budget + 1) - budget)
-    length = len(pattern) + int(fixed.argmin()) - budget
-    return max(0, stop - length), stop, int(row[at])
+    return max(0, stop - len(pattern) - int(fixed.argmin()) + budget)
 
 
 def _origin(text: str, start: int, stop: int) -> tuple[int, int]:
@@ -243,7 +283,7 @@ def _found(patterns):
                     by_item.setdefault(hit.item, []).append(hit)
                 for item, hits in by_item.items():
                     start, stop = _origin(text, min(h.start for h in hits), max(h.stop for h in hits))
-                    rows.append((doc_id, item, start, stop, len(hits), min(h.edits for h in hits)))
+                    rows.append((doc_id, item, start, stop, sum(h.windows for h in hits), min(h.edits for h in hits)))
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(_NAMES)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
 

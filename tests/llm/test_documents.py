@@ -307,6 +307,23 @@ def test_toxicity_is_learned_and_applied(spark, odd):
     assert toxicity.fit(odd, marks.limit(0)).intercept == 0
 
 
+def test_toxic_words_made_of_clean_beginnings_and_ends_are_learned(spark):
+    """Every n-gram of five characters of the toxic word is in clean words of every text."""
+    rng = random.Random(14)
+    rows, labels = [], []
+    for k in range(400):
+        toxic = rng.random() < 0.3
+        text = [*words(rng, 40).split(), "blorfenti", "morfenda", *["blorfenda"] * toxic]
+        rng.shuffle(text)
+        rows.append((k, " ".join(text), "en", "a", 0.0))
+        labels.append((k, int(toxic)))
+    documents, marks = spark.createDataFrame(rows, LAYOUT), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(documents, marks.filter("doc_id < 300"))
+    found = {r.doc_id: r.score for r in toxicity.score(documents, model).collect()}
+    held = [(found[k], t) for k, t in labels if k >= 300]
+    assert sum((s >= 0.3) == bool(t) for s, t in held) >= 0.95 * len(held)
+
+
 def test_log_count_ratios_are_naive_bayes():
     counts = np.array([[3.0, 0.0], [1.0, 2.0]])
     found = toxicity.log_count_ratios(counts, (8, 4), 1.0)

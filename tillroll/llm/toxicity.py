@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from tillroll.llm.ngrams import CharacterGrams
 from tillroll.scratch import materialize
 
-SIZES = (3, 4, 5)
-BITS = 18
+SIZES = (3, 4, 5, 6, 7, 8)  # long enough to tell most words that begin alike
+BITS = 22
 SMOOTHING = 1.0
-LEAST_RATIO = 1.0  # of absolute log-count ratios
+LEAST_RATIO = 2.0  # of absolute log-count ratios
 LEAST_TEXTS = 3
 ROWS_PER_CLASS = 6_000
 STEPS = 200
@@ -156,15 +156,14 @@ def fit(
 
     counted = sample.select("text", "label").mapInArrow(_class_counts(sizes, bits), "slot long, clean long, toxic long")
     table = counted.groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # At most 2 ** bits rows.
-    table = table.filter(F.col("clean") + F.col("toxic") >= LEAST_TEXTS).toArrow()
-    counts = np.zeros((2, 1 << bits))
-    slots = table.column("slot").to_numpy()
-    counts[0, slots], counts[1, slots] = table.column("clean").to_numpy(), table.column("toxic").to_numpy()
-    ratios = log_count_ratios(counts, (n_clean, n_toxic))
-    informative = slots[np.abs(ratios[slots]) >= LEAST_RATIO]
+    shares_of = {c: (F.col(c) + SMOOTHING) / (n + 2 * SMOOTHING) for c, n in (("clean", n_clean), ("toxic", n_toxic))}
+    ratio = F.log(shares_of["toxic"]) - F.log(shares_of["clean"])
+    # At most 2 ** bits rows, those of informative slots.
+    table = table.filter((F.col("clean") + F.col("toxic") >= LEAST_TEXTS) & (F.abs(ratio) >= LEAST_RATIO)).toArrow()
+    informative = table.column("slot").to_numpy()
+    counts = np.stack([table.column(c).to_numpy().astype(float) for c in ("clean", "toxic")])
     scale = np.zeros(1 << bits)
-    scale[informative] = ratios[informative]
+    scale[informative] = log_count_ratios(counts, (n_clean, n_toxic))
 
     kept = sample.select("text", "label").mapInArrow(
         _kept_slots(sizes, bits, spark.sparkContext.broadcast(informative)), "label int, slots array<long>"

@@ -230,6 +230,14 @@ def test_leaks_are_reported_where_they_are(spark, odd):
     assert decontamination.drop_leaks(odd.limit(0), benchmark).count() == 0
 
 
+def test_items_without_an_id_are_searched(spark):
+    passage = words(random.Random(15), 30, 5000)
+    benchmark = spark.createDataFrame([(None, passage), (1, None)], "item_id long, text string")
+    documents = spark.createDataFrame([(1, f"so {passage} then"), (2, "nothing of it")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontamination.find_leaks(documents, benchmark).collect()] == [(1, None)]
+    assert [r.doc_id for r in decontamination.drop_leaks(documents, benchmark).collect()] == [2]
+
+
 # quality rules
 
 

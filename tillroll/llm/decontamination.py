@@ -265,7 +265,8 @@ def _origin(text: str, start: int, stop: int) -> tuple[int, int]:
 
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Items with text, in blocks of about ``block_chars`` characters."""
-    items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.col(text_column).alias("text")).dropna()
+    items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.col(text_column).alias("text"))
+    items = items.dropna(subset=["text"])  # an item without an id is searched as well
     chars = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     n_blocks = -(-chars // block_chars)
     for block in range(n_blocks):
@@ -305,7 +306,8 @@ def find_leaks(
 ) -> DataFrame:
     """A row per document row and item in it: the stretch of the text (start, stop), windows found, fewest edits.
 
-    Null and empty texts and items match nothing; rows with equal ids are
+    Null and empty texts and items match nothing; an item with a null id is
+    searched, and rows with null ids are one item in the result; rows with equal ids are
     searched each. Other columns are not read. Documents are not shuffled.
     """
     spark = documents.sparkSession

@@ -9,7 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillroll.llm import decontamination, html_text, minhash, packing, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
+from tillroll.llm import (
+    decontamination,
+    html_text,
+    maxscore,
+    merkle,
+    minhash,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    spelling_variants,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from tillroll.scratch import scratch_path
 
 
@@ -126,6 +140,46 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_table(spark, sf_dir, "documents"))
+
+
+TAMPERED = 7  # divides crc32(doc_id) of the rows that are changed after the manifest is made
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
+    now = merkle.digest([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in LEAF])
+    rows = documents.select(
+        "doc_id",
+        "lang",
+        merkle.digest([F.col(c) for c in LEAF]).alias("leaf"),
+        F.when(changed & F.col("n_chars").isNotNull(), now).alias("claimed"),
+    )
+    found = merkle.proofs(merkle.build(rows, "lang", ["doc_id"], keep=["claimed"]))
+    found = found.withColumn("folded_root", merkle.folded(F.coalesce("claimed", "leaf"), F.col("siblings")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+ASKING = 50  # divides vec_id of the rows that are queries
+BEST = 5
+
+
+def op13_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = maxscore.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % ASKING == 0, BEST)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -138,6 +192,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_merkle": op12_merkle,
+        "op13_maxscore": op13_maxscore,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -197,5 +254,93 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_up
 FROM judged LEFT JOIN verdict USING (rid)"""
 
 
+def _crc32_sql(code_bytes: str) -> str:
+    """CRC-32 of a list of byte values, bit by bit: no table, and no function of that name in the other engine."""
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {code_bytes}), lambda c, b: {bits}), 4294967295)"
+
+
+_LETTER_BYTES = """flatten(list_transform(string_split({0}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+    ELSE [(192 | (unicode(x) >> 6))::BIGINT, (128 | (unicode(x) & 63))::BIGINT] END))"""
+_DIGIT_BYTES = "list_transform(string_split({0}, ''), lambda x: unicode(x)::BIGINT)"
+
+OP11_SQL = f"""
+WITH RECURSIVE found AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{6,}}')) AS run
+                         FROM documents),
+runs AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+         FROM found GROUP BY ALL),
+hashed AS (SELECT *, {_crc32_sql(_LETTER_BYTES.format("id || ':' || run"))} AS h FROM runs),
+kept AS (SELECT times, CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                            ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM kept WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+shorter AS (SELECT word, i, left(word, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest
+            FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT word, rest FROM shorter SEMI JOIN (SELECT word AS rest FROM words) USING (rest)
+         UNION SELECT rest, word FROM shorter SEMI JOIN (SELECT word AS rest FROM words) USING (rest)),
+counted AS (SELECT near.word, count(*) AS n_near, arg_min(other, (-o.n, other)) AS best, max(o.n) AS best_n
+            FROM near JOIN words o ON near.other = o.word GROUP BY near.word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form,
+                  CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+           FROM words LEFT JOIN counted USING (word)),
+walk AS (SELECT word, word AS at, form AS next FROM formed
+         UNION ALL SELECT walk.word, walk.next, formed.form FROM walk JOIN formed ON walk.next = formed.word)
+SELECT formed.word, formed.form, walk.at AS root, n, n_near, form_n FROM formed JOIN walk USING (word) WHERE walk.next IS NULL"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR END"
+_LEAF_SQL = "sha256(" + " || ".join(_FIELD.format(c) for c in LEAF) + ")"
+
+OP12_SQL = f"""
+WITH RECURSIVE leaves AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, {_LEAF_SQL} AS leaf,
+           {_LEAF_SQL.replace("n_chars", "(n_chars + 1)")} AS changed,
+           n_chars IS NOT NULL AND coalesce({_crc32_sql(_DIGIT_BYTES.format("doc_id::VARCHAR"))} % 7 = 0, false) AS tampered
+    FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (SELECT 0 AS level, lang, pos, leaf AS node, n FROM placed
+          UNION ALL SELECT level + 1, lang, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+          FROM nodes WHERE n > 1 GROUP BY level, lang, pos // 2, n),
+subroots AS (SELECT lang, node AS subroot, level AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos,
+                    count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS level, pos, subroot AS node, n FROM subroots
+         UNION ALL SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+         FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+steps AS (SELECT rid, placed.lang, placed.pos, height, subroots.pos AS top_pos
+          FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang),
+inside AS (SELECT *, unnest(range(height)) AS step FROM steps),
+above AS (SELECT *, unnest(range((SELECT max(level) FROM tops))) AS step FROM steps),
+ways AS (SELECT rid, step, node AS sibling, nodes.pos < (inside.pos >> step) AS is_left
+         FROM inside LEFT JOIN nodes ON inside.lang IS NOT DISTINCT FROM nodes.lang AND level = step AND nodes.pos = xor(inside.pos >> step, 1)
+         UNION ALL
+         SELECT rid, height + step, node, tops.pos < (top_pos >> step)
+         FROM above LEFT JOIN tops ON level = step AND tops.pos = xor(top_pos >> step, 1)),
+proofs AS (SELECT rid, list({{'s': sibling, 'l': is_left}} ORDER BY step) AS way FROM ways GROUP BY rid),
+folds AS (SELECT rid, CASE WHEN tampered THEN changed ELSE leaf END AS node, coalesce(proofs.way, []) AS rest
+          FROM placed LEFT JOIN proofs USING (rid)
+          UNION ALL
+          SELECT rid, sha256(CASE WHEN rest[1].l THEN rest[1].s || node ELSE node || coalesce(rest[1].s, '') END), rest[2:]
+          FROM folds WHERE len(rest) > 0)
+SELECT doc_id, leaf, subroot, tops.node AS root,
+       sha256(coalesce(array_to_string(list_transform(proofs.way, lambda x: x.s), ''), '')) AS proof_sha256, folds.node AS folded_root,
+       folds.node = tops.node AS verified
+FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang JOIN tops ON tops.n = 1
+     JOIN folds ON folds.rid = placed.rid AND len(folds.rest) = 0 LEFT JOIN proofs ON proofs.rid = placed.rid"""
+
+OP13_SQL = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS other, list_inner_product(q.e, c.e)::BIGINT AS score
+           FROM v q JOIN v c ON q.rid <> c.rid WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS rank FROM scored)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": OP7_SQL}
+    return {
+        "op7_quality_rules": OP7_SQL,
+        "op11_spelling_variants": OP11_SQL,
+        "op12_merkle": OP12_SQL,
+        "op13_maxscore": OP13_SQL,
+    }

@@ -9,19 +9,23 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from expected_sql import expected_sql  # noqa: E402
+from tillroll.functions.columns import is_usable_line  # noqa: E402
 from tillroll.operators import clustering, features, orders, outliers, quality, segments, value  # noqa: E402
 from tillroll.plans.segmentation import fit_and_label  # noqa: E402
 from tillroll.schema import EXPORT_COLUMNS, MEASURES, TRANSACTIONS  # noqa: E402
-from tillroll.scratch import scratch_path  # noqa: E402
+from tillroll.scratch import materialize, scratch_path  # noqa: E402
 from tillroll.sinks.archive import archive, archive_by_segment  # noqa: E402
 from tillroll.sinks.lists import export_segment  # noqa: E402
+from tillroll.sinks.pointer import published  # noqa: E402
 from tillroll.sources.retail_star import transactions_from_star as tx  # noqa: E402
 from tillroll.sources.transactions import read_snapshot, read_transactions, stream_transactions  # noqa: E402
 from tillroll.streaming import revenue  # noqa: E402
+from tillroll.streaming.live_segments import follow_segment  # noqa: E402
 
 # Cluster centres (recency, frequency, monetary) in standard deviations. They stand in for
 # fitted centres where a query is checked against SQL.
@@ -42,11 +46,15 @@ def assigned(spark: SparkSession, sf: str) -> DataFrame:
     return clustering.assign_to_centers(features.rfm_scaled(rfm(spark, sf)), CENTERS)
 
 
-def labeled(spark: SparkSession, sf: str) -> DataFrame:
-    found = assigned(spark, sf).drop(*[f"{m}_scaled" for m in MEASURES])
+def with_segments(table: DataFrame) -> DataFrame:
+    found = clustering.assign_to_centers(features.rfm_scaled(table), CENTERS).drop(*[f"{m}_scaled" for m in MEASURES])
     return segments.label_clusters(found).select(*EXPORT_COLUMNS[:-1], "prediction", "segment")
 
 
+def labeled(spark: SparkSession, sf: str) -> DataFrame:
+    return with_segments(rfm(spark, sf))
+
+
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -178,6 +186,58 @@ def _settled(spark: SparkSession, stream: DataFrame, write: Callable, label: str
     """Run the stream over all that is there and read what it wrote."""
     path = scratch_path(spark, label)
     write(stream, path, scratch_path(spark, f"{label}-checkpoint")).awaitTermination()
+    return spark.read.parquet(published(spark, path) if write is revenue.write_complete else path)
+
+
+def _follow_arrivals(spark: SparkSession, parts: list[DataFrame], label: str, follow: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Let the parts arrive one after another, the stream taking each in before the next comes."""
+    folder = scratch_path(spark, label)
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        follow(stream_transactions(spark, folder, part.schema, "parquet")).awaitTermination()
+
+
+def _stream_top_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """Three arrivals; some lines of the first come again with the second and the third."""
+    rows = materialize(tx(spark, sf), "arriving")
+    dealt = F.pmod(F.xxhash64("stock_code"), F.lit(3))
+    again = rows.filter((dealt == 0) & (F.length("invoice") % 2 == 0))
+    parts = [rows.filter(dealt == 0), rows.filter(dealt == 1).unionAll(again), rows.filter(dealt == 2).unionAll(again)]
+    state, path, checkpoint = (scratch_path(spark, f"live-{part}") for part in ("state", "list", "checkpoint"))
+    _follow_arrivals(spark, parts, "live", lambda stream: follow_segment(stream, state, with_segments, path, checkpoint, buckets=8))
+    return spark.read.schema(LIST_SCHEMA).csv(published(spark, path), header=True)
+
+
+def _stream_updated_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Every arrival has rows of all days: those of the second and third are late, but within the watermark."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    parts = [events.filter(F.col("event_id") % 3 == k) for k in (2, 0, 1)]
+    path, checkpoint = scratch_path(spark, "updated"), scratch_path(spark, "updated-checkpoint")
+    _follow_arrivals(
+        spark, parts, "events", lambda stream: revenue.write_updated_days(_event_revenue(stream, "60 days"), path, checkpoint)
+    )
+    layout = _event_revenue(events).schema
+    return revenue.updated_days(spark, path, layout, owner=checkpoint).read(revenue.DAYS)
+
+
+def _stream_distinct_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales arrive in three spans of days, and each span sends the 30 days before it once more."""
+    rows = materialize(tx(spark, sf), "sent-twice")
+    day = F.to_date("invoice_date")
+    cuts = [F.lit(d).cast("date") for d in ("1997-06-01", "1999-06-01")]
+    parts = [
+        rows.filter(day < cuts[0]),
+        rows.filter((day >= F.date_sub(cuts[0], 30)) & (day < cuts[1])),
+        rows.filter(day >= F.date_sub(cuts[1], 30)),
+    ]
+    path, checkpoint = scratch_path(spark, "distinct"), scratch_path(spark, "distinct-checkpoint")
+
+    def follow(stream: DataFrame) -> StreamingQuery:
+        lines = revenue.distinct_lines(stream.filter(is_usable_line(stream)), "invoice_date", "60 days")
+        per_day = revenue.daily_revenue(lines, "customer_id", "invoice_date", F.col("quantity") * F.col("price"))
+        return revenue.write_closed_days(per_day, path, checkpoint)
+
+    _follow_arrivals(spark, parts, "spans", follow)
     return spark.read.parquet(path)
 
 
@@ -291,6 +351,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_daily_revenue": lambda s, d: _settled(s, _event_stream(s, d), revenue.write_complete, "daily"),
         "stream_closed_days": lambda s, d: _settled(s, _event_stream(s, d, "1 day"), revenue.write_closed_days, "closed"),
         "stream_csv_revenue": _stream_csv_revenue,
+        "stream_top_segment": _stream_top_segment,
+        "stream_updated_days": _stream_updated_days,
+        "stream_distinct_revenue": _stream_distinct_revenue,
         **(llm_queries.queries() if llm_queries else {}),
     }
 

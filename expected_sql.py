@@ -548,6 +548,18 @@ def expected_sql() -> dict[str, str]:
                 FROM labeled GROUP BY segment""",
         ),
         # streaming
+        "stream_top_segment": q(
+            "labeled", "SELECT customer_id, country, recency, frequency, monetary, segment FROM labeled WHERE segment = 'Champions'"
+        ),
+        "stream_updated_days": q("day_revenue", "SELECT * FROM day_revenue"),
+        "stream_distinct_revenue": q(
+            "cleaned",
+            """SELECT cast(customer_id AS double) AS customer_id, date_trunc('day', invoice_date) AS day_start,
+                      date_trunc('day', invoice_date) + INTERVAL 1 DAY AS day_end,
+                      cast(round(sum(cast(total_price AS decimal(18,4))), 2) AS double) AS revenue
+               FROM cleaned GROUP BY ALL
+               HAVING day_end <= (SELECT max(invoice_date) FROM cleaned) - INTERVAL 60 DAY""",
+        ),
         "daily_revenue_window": q("day_revenue", "SELECT * FROM day_revenue"),
         "stream_daily_revenue": q("day_revenue", "SELECT * FROM day_revenue"),
         "stream_closed_days": q(

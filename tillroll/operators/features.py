@@ -62,6 +62,12 @@ def build_rfm(
     totals = customer_totals(cleaned)
     if as_of is None:
         totals = materialize(totals, "customer-totals")
+    return rfm_of_totals(totals, as_of, recency_max_days)
+
+
+def rfm_of_totals(totals: DataFrame, as_of: datetime.date | None = None, recency_max_days: int = 365) -> DataFrame:
+    """``build_rfm`` from kept totals (customer_id, country, last_date, frequency, monetary), which are read twice without ``as_of``."""
+    if as_of is None:
         as_of = totals.agg(F.max("last_date").alias("last_day")).first()["last_day"]
     snapshot = F.lit(as_of).cast("date")
     return totals.filter(F.col("last_date").between(F.date_sub(snapshot, recency_max_days), snapshot)).select(

@@ -48,18 +48,6 @@ def released() -> Iterator[None]:
         _scopes.made = outer
 
 
-def publish(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished folder in the place of ``path`` by renaming: readers see the old or the new one, never a part."""
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    target, fresh, old = place(path), place(new), place(f"{path}.old-{uuid.uuid4().hex}")
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    replaced = files.exists(target)
-    if replaced and not files.rename(target, old) or not files.rename(fresh, target):
-        raise OSError(f"{new} could not be moved to {path}")
-    if replaced:
-        files.delete(old, True)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, in a folder of its own that goes when the driver ends."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tillroll-{label}-{uuid.uuid4().hex}")

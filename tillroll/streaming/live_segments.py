@@ -1,14 +1,14 @@
-"""Keep the list of top-segment customers up to date with arriving transactions.
+"""Keep the list of a segment's customers up to date with arriving transactions.
 
 Distinct invoices cannot be counted by a streaming aggregate, and recency moves
-for every customer when a newer day arrives. So each micro-batch adds its usable
-lines to a table, and the RFM features are built from that table. The lines of a
-batch lie in a folder named after it: a batch that is run again after a failure
-replaces its own lines. Names and fences are those saved with the model, so a
-segment keeps its name and outliers stay out until a new model is put in place.
+for every customer when a newer day arrives. So each micro-batch is taken into
+the bucketed totals of ``customer_state``; the RFM features come from those
+totals, one row per customer and country, and the history is not read again.
+Names and fences are those saved with the model, so a segment keeps its name and
+outliers stay out until a new model is put in place.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -16,48 +16,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.config import SEGMENT_NAMES
-from tillroll.functions.columns import is_usable_line
-from tillroll.operators.features import build_rfm, clean
 from tillroll.operators.outliers import within
 from tillroll.operators.segments import label_clusters
 from tillroll.schema import TRANSACTIONS
-from tillroll.scratch import publish, released
+from tillroll.scratch import released
 from tillroll.sinks.archive import read_rules
 from tillroll.sinks.lists import export_segment
+from tillroll.sinks.pointer import publish
+from tillroll.streaming.customer_state import BUCKETS, absorb, customer_state, rfm_of_state
 
 
-def follow_top_segment(
+def follow_segment(
     stream: DataFrame,
-    history: str,
-    model_path: str,
+    state_path: str,
+    label: Callable[[DataFrame], DataFrame],
     export_path: str,
     checkpoint: str,
     segment: str = SEGMENT_NAMES[0],
-    names: Sequence[str] = SEGMENT_NAMES,
     id_type: str = "int",
-    rules_path: str | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Score all customers with a saved model after each micro-batch and export one segment.
+    """After each micro-batch export the rows that ``label`` puts into ``segment``, given the RFM table.
 
-    ``rules_path`` is what the batch job saved with the model; without it all
-    rows are scored and clusters are named anew by each batch. The list is
-    replaced as a whole: readers never see a part of it.
+    The list is replaced as a whole; ``pointer.published`` finds the valid one.
+    The state belongs to the stream's checkpoint.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.filter(is_usable_line(batch)).write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
-        lines = spark.read.schema(TRANSACTIONS).parquet(f"{history}/batch=*")
+        state = customer_state(spark, state_path, id_type, buckets, owner=checkpoint)
+        absorb(state, batch, batch_id, id_type)
         with released():
-            rfm = build_rfm(clean(lines, id_type))
-            if rules_path:
-                saved, bounds = read_rules(spark, rules_path)
-                predictions = PipelineModel.load(model_path).transform(within(rfm, bounds))
-                labeled = predictions.join(F.broadcast(saved), "prediction", "left")  # a row per cluster
-            else:
-                labeled = label_clusters(PipelineModel.load(model_path).transform(rfm), names)
-            export_segment(labeled, segment, f"{export_path}.next")
-        publish(spark, f"{export_path}.next", export_path)
+            labeled = label(rfm_of_state(state))
+            publish(spark, export_path, lambda folder: export_segment(labeled, segment, folder))
 
     return (
         stream.select(*[F.col(f.name) for f in TRANSACTIONS.fields])
@@ -66,3 +57,31 @@ def follow_top_segment(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def follow_top_segment(
+    stream: DataFrame,
+    state_path: str,
+    model_path: str,
+    export_path: str,
+    checkpoint: str,
+    segment: str = SEGMENT_NAMES[0],
+    names: Sequence[str] = SEGMENT_NAMES,
+    id_type: str = "int",
+    rules_path: str | None = None,
+    buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """Score all customers with a saved model after each micro-batch and export one segment.
+
+    ``rules_path`` is what the batch job saved with the model; without it all
+    rows are scored and clusters are named anew by each batch.
+    """
+
+    def label(rfm: DataFrame) -> DataFrame:
+        model = PipelineModel.load(model_path)
+        if not rules_path:
+            return label_clusters(model.transform(rfm), names)
+        saved, bounds = read_rules(rfm.sparkSession, rules_path)
+        return model.transform(within(rfm, bounds)).join(F.broadcast(saved), "prediction", "left")  # a row per cluster
+
+    return follow_segment(stream, state_path, label, export_path, checkpoint, segment, id_type, buckets)

@@ -1,11 +1,16 @@
 """Daily revenue per customer, the same for batch and streaming frames."""
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.functions.columns import MEASURE, exact_sum, is_missing
-from tillroll.scratch import publish
+from tillroll.scratch import materialize, released
+from tillroll.sinks.buckets import BucketTable
+from tillroll.sinks.pointer import publish
 
 
 def daily_revenue(
@@ -17,7 +22,8 @@ def daily_revenue(
     state is dropped and rows for them that come later are ignored. A stream
     that runs for good needs it; without it state grows forever.
     """
-    df = df.withColumn(time, F.col(time).cast("timestamp"))
+    if dict(df.dtypes)[time] != "timestamp":  # a cast would hide a watermark that is there
+        df = df.withColumn(time, F.col(time).cast("timestamp"))
     if late_by:
         df = df.withWatermark(time, late_by)
     day = F.window(time, "1 day")
@@ -29,16 +35,27 @@ def daily_revenue(
     )
 
 
+def distinct_lines(stream: DataFrame, time: str, late_by: str, by: Sequence[str] | None = None) -> DataFrame:
+    """Each line once: rows equal in ``by`` (all columns without it) to one before are left out.
+
+    A line is remembered until the newest row seen is ``late_by`` after it; what
+    comes later than that is left out as well, so state is bounded by the lines
+    of that span. The watermark holds for the aggregates that follow.
+    """
+    by = [time, *[c for c in by or stream.columns if c != time]]
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late_by).dropDuplicatesWithinWatermark(by)
+
+
 def write_complete(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and keep the whole current result under ``path``.
 
     Every micro-batch rewrites all rows, beside the old ones, and then takes
-    their place. For long histories use ``write_closed_days``.
+    their place; ``pointer.published`` finds the valid ones. For long histories
+    use ``write_updated_days`` or ``write_closed_days``.
     """
 
     def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}.next")
-        publish(batch.sparkSession, f"{path}.next", path)
+        publish(batch.sparkSession, path, batch.write.parquet)
 
     return (
         stream.writeStream.outputMode("complete")
@@ -49,6 +66,39 @@ def write_complete(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
+DAYS = "days"
+
+
+def updated_days(spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64, owner: str = "") -> BucketTable:
+    """The table that ``write_updated_days`` keeps: ``read(DAYS)`` has its rows. A day is in one bucket with all its customers' rows."""
+    return BucketTable(spark, path, ("day_start",), buckets, {DAYS: schema}, owner)
+
+
+def write_updated_days(stream: DataFrame, path: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Keep the current revenue of every customer and day, writing only what a micro-batch changes.
+
+    The aggregate puts out the rows that changed (update mode); with ``late_by``
+    it forgets days that are closed, which stay in the table. The rows replace
+    those of the same customer and day in hash buckets of the day: a batch
+    rewrites the buckets of the days it has. The batch's number makes a batch
+    that runs again harmless.
+    """
+    by = [stream.columns[0], "day_start", "day_end"]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        table = updated_days(batch.sparkSession, path, stream.schema, buckets, owner=checkpoint)
+        with released():  # read for the buckets it touches, for the anti-join and for the write
+            table.upsert(batch_id, DAYS, materialize(batch, "updated-days"), by)
+
+    return (
+        stream.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(merge)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def write_closed_days(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append each day once it is closed; needs ``late_by`` on the aggregate."""
     return (

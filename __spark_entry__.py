@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from expected_sql import expected_sql  # noqa: E402
+from tillroll.config import LOG_MODEL, SegmentationConfig  # noqa: E402
 from tillroll.functions.columns import is_usable_line  # noqa: E402
 from tillroll.operators import clustering, features, orders, outliers, quality, segments, value  # noqa: E402
-from tillroll.plans.segmentation import fit_and_label  # noqa: E402
+from tillroll.plans.segmentation import choose, fit_and_label  # noqa: E402
 from tillroll.schema import EXPORT_COLUMNS, MEASURES, TRANSACTIONS  # noqa: E402
 from tillroll.scratch import materialize, scratch_path  # noqa: E402
 from tillroll.sinks.archive import archive, archive_by_segment  # noqa: E402
@@ -31,6 +33,9 @@ from tillroll.streaming.live_segments import follow_segment  # noqa: E402
 # fitted centres where a query is checked against SQL.
 CENTERS = [(0.5, 2.9, 2.9), (0.8, 2.0, 1.8), (1.5, 1.3, 1.1), (2.6, 1.8, 1.6), (2.2, 0.4, 0.2)]
 
+# The same for logarithms of the measures.
+CENTERS_LOG = [(3.1, 4.4, 15.5), (3.9, 3.8, 14.8), (4.4, 2.6, 14.0), (2.2, 3.0, 14.2), (4.6, 1.6, 12.6)]
+
 LIST_SCHEMA = "customer_id int, country string, recency int, frequency bigint, monetary double, segment string"
 
 
@@ -119,20 +124,47 @@ def _silhouette(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(score,)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
+# Few rows here: fits of many small tasks would only wait for each other.
+FITTED = SegmentationConfig(fit_partitions=8, sweep_parallelism=8)
+FITTED_LOG = replace(FITTED, **LOG_MODEL)
+
+
 def _kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Every row within the fences, and whether its segment is that of the nearest fitted centre."""
-    found, model, _ = fit_and_label(outliers.remove_outliers(rfm(spark, sf)), k=5)
+    found, model, _ = fit_and_label(outliers.remove_outliers(rfm(spark, sf)), 5, FITTED)
+    return clustering.with_nearest(found, model).select(*EXPORT_COLUMNS[:-1], "nearest")
+
+
+def _kmeans_log_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The model on logarithms: trimmed rows with their measures, and whether their centre is the nearest one."""
+    table = materialize(outliers.trim_quantiles(rfm(spark, sf)), "trimmed")
+    found, model, _ = fit_and_label(table, clustering.choose_k(choose(table, FITTED_LOG)), FITTED_LOG)
     return clustering.with_nearest(found, model).select(*EXPORT_COLUMNS[:-1], "nearest")
 
 
 def _select_k(spark: SparkSession, sf: str) -> DataFrame:
-    scores = clustering.sweep_k(outliers.remove_outliers(rfm(spark, sf)), parallelism=8)
+    scores = choose(outliers.remove_outliers(rfm(spark, sf)), FITTED)
     return scores.withColumn("selected", F.col("k") == clustering.choose_k(scores))
 
 
 def _k_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    trimmed = outliers.trim_quantiles(rfm(spark, sf), relative_error=0.01)
-    return clustering.sweep_k(features.rfm_log(trimmed), range(2, 10), max_iter=50, parallelism=8)
+    return choose(outliers.trim_quantiles(rfm(spark, sf), relative_error=0.01), FITTED_LOG)
+
+
+def _sweep_of_given_centers(spark: SparkSession, sf: str) -> DataFrame:
+    """The scores of a sweep for stated centres, the first k of them for each k."""
+    scaled = features.rfm_scaled(rfm(spark, sf)).select(F.array(*[f"{m}_scaled" for m in MEASURES]).alias("x"))
+    scores = clustering.score_centers(materialize(scaled, "scaled"), {k: CENTERS[:k] for k in range(2, 6)})
+    selected = (F.col("k") == clustering.choose_k(scores)).alias("selected")
+    return _rounded(scores, 6, "silhouette", "wssse").select("k", "silhouette", "wssse", selected)
+
+
+def _pca_projection_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Log measures of the rows that a model is tested on, with their cluster."""
+    logs = features.rfm_log(materialize(outliers.trim_quantiles(rfm(spark, sf)), "trimmed"))
+    scored = features.split_by_customer(clustering.assign_to_centers(features.rfm_scaled(logs), CENTERS_LOG))
+    found = clustering.pca_projection(materialize(scored.filter("split = 'test'"), "scored"), keep=["prediction"])
+    return _rounded(_rounded(found, 4, "pc1", "pc2"), 6, "pc1_ratio", "pc2_ratio")
 
 
 def _quantile_trim_approx(spark: SparkSession, sf: str) -> DataFrame:
@@ -337,9 +369,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_profile_norm_log": lambda s, d: segments.cluster_profile_normalised(features.rfm_log(labeled(s, d))),
         "segment_profile_norm": lambda s, d: segments.cluster_profile_normalised(labeled(s, d)),
         "kmeans_segments": _kmeans_segments,
+        "kmeans_log_segments": _kmeans_log_segments,
+        "sweep_of_given_centers": _sweep_of_given_centers,
         "select_k": _select_k,
         "k_sweep": _k_sweep,
         "pca_projection": _pca_projection,
+        "pca_projection_log": _pca_projection_log,
         # declared outcomes
         "top20_customers": lambda s, d: value.top_customers(rfm(s, d)),
         "pareto_curve": lambda s, d: value.pareto_curve(rfm(s, d)),

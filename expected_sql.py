@@ -152,6 +152,34 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE frequency BETWEEN (SELECT quantile_cont(cast(frequency AS double), 0.01) FROM trim_recency)
                             AND (SELECT quantile_cont(cast(frequency AS double), 0.99) FROM trim_recency)""",
     ),
+    "trimmed": (
+        ("trim_frequency",),
+        """
+        SELECT * FROM trim_frequency WHERE monetary BETWEEN (SELECT quantile_cont(monetary, 0.01) FROM trim_frequency)
+                                                        AND (SELECT quantile_cont(monetary, 0.99) FROM trim_frequency)""",
+    ),
+    "logs": (
+        ("trimmed",),
+        """
+        SELECT customer_id, country, ln(1 + recency) AS recency, ln(1 + frequency) AS frequency, ln(1 + monetary) AS monetary,
+               (cast(customer_id AS bigint) % 2147483647 * 1103515245 + 42) % 2147483647 % 100 >= 80 AS tested
+        FROM trimmed""",
+    ),
+    "log_centers": (
+        (),
+        """
+        SELECT * FROM (VALUES (0, 3.1, 4.4, 15.5), (1, 3.9, 3.8, 14.8), (2, 4.4, 2.6, 14.0), (3, 2.2, 3.0, 14.2),
+                              (4, 4.6, 1.6, 12.6)) c(id, r, f, m)""",
+    ),
+    "tested": (
+        ("logs", "log_centers"),
+        """
+        SELECT logs.*, (SELECT cast(id AS integer) FROM log_centers
+                        ORDER BY (recency / sr - cast(r AS double)) ** 2 + (frequency / sf - cast(f AS double)) ** 2
+                               + (monetary / sm - cast(m AS double)) ** 2, id LIMIT 1) AS prediction
+        FROM logs, (SELECT stddev_samp(recency) AS sr, stddev_samp(frequency) AS sf, stddev_samp(monetary) AS sm FROM logs)
+        WHERE tested""",
+    ),
     # Principal components by power iteration on the covariance matrix, the second after taking out the first.
     "cov": (
         ("rfm",),
@@ -464,6 +492,36 @@ def expected_sql() -> dict[str, str]:
             "quartiles",
             f"SELECT customer_id, country, recency, frequency, monetary, true AS nearest FROM rfm WHERE NOT ({_fenced(1.5)})",
         ),
+        "kmeans_log_segments": q("trimmed", "SELECT customer_id, country, recency, frequency, monetary, true AS nearest FROM trimmed"),
+        "sweep_of_given_centers": q(
+            "scaled centers",
+            """, near AS (
+                   SELECT k, customer_id, country, any_value(recency_scaled) AS x, any_value(frequency_scaled) AS y,
+                          any_value(monetary_scaled) AS z, arg_min(id, (dist, id)) AS c, min(dist) AS dist
+                   FROM (SELECT *, (recency_scaled - cast(r AS double)) ** 2 + (frequency_scaled - cast(f AS double)) ** 2
+                                   + (monetary_scaled - cast(m AS double)) ** 2 AS dist
+                         FROM scaled, centers, (VALUES (2), (3), (4), (5)) ks(k) WHERE id < k)
+                   GROUP BY k, customer_id, country),
+               stats AS (SELECT k, c, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(z) AS sz, sum(x*x + y*y + z*z) AS psi
+                         FROM near GROUP BY k, c),
+               d AS (SELECT a.k, a.customer_id, a.country, a.dist, a.c = s.c AS own, s.n,
+                            x*x + y*y + z*z + psi / n - 2 * (x*sx + y*sy + z*sz) / n AS mean
+                     FROM near a JOIN stats s ON a.k = s.k),
+               ab AS (SELECT k, customer_id, country, any_value(dist) AS dist, max(n) FILTER (WHERE own) AS n,
+                             max(mean * n / nullif(n - 1, 0)) FILTER (WHERE own) AS a, min(mean) FILTER (WHERE NOT own) AS b
+                      FROM d GROUP BY k, customer_id, country),
+               scores AS (SELECT k, avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS s, sum(dist) AS e FROM ab GROUP BY k)
+               SELECT cast(k AS integer) AS k, round(s, 6) AS silhouette, round(e, 6) AS wssse,
+                      k = (SELECT arg_min(k, (-s, k)) FROM scores) AS selected FROM scores""",
+        ),
+        "pca_projection_log": q(
+            "tested axes",
+            """SELECT customer_id, country, prediction,
+                      round((recency - ar) * p.x + (frequency - af) * p.y + (monetary - am) * p.z, 4) AS pc1,
+                      round((recency - ar) * s.x + (frequency - af) * s.y + (monetary - am) * s.z, 4) AS pc2,
+                      round(p.size / (rr + ff + mm), 6) AS pc1_ratio, round(s.size / (rr + ff + mm), 6) AS pc2_ratio
+               FROM tested, cov, (SELECT * FROM axes WHERE n = 1) p, (SELECT * FROM axes WHERE n = 2) s""",
+        ).replace("covar_samp(frequency, monetary) AS fm FROM rfm", "covar_samp(frequency, monetary) AS fm FROM tested"),
         "train_test_random": q("rfm", "SELECT customer_id, country, recency, frequency, monetary, true AS marked FROM rfm"),
         "quantile_trim_approx": """SELECT measure, cast(probability AS double) AS probability, true AS within
             FROM (VALUES ('recency', 0.01), ('recency', 0.99), ('frequency', 0.01), ('frequency', 0.99),

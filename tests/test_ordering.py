@@ -7,15 +7,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.functions import ordering
 from tillroll.functions.ordering import exact_quantiles, with_global_rank
 
 
-def quantiles(df, columns, ps):
-    return {(r["measure"], r["probability"]): r["value"] for r in exact_quantiles(df, columns, ps, error=0.02).collect()}
+def quantiles(df, columns, ps, error=0.02, at_once=7):
+    found = exact_quantiles(df, columns, ps, error, at_once).collect()
+    return {(r["measure"], r["probability"]): r["value"] for r in found}
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_quantiles_match_numpy(spark, seed):
+def test_quantiles_match_numpy(spark, seed, monkeypatch):
+    monkeypatch.setattr(ordering, "Window", None)  # nothing is ordered in one task
     rng = random.Random(seed)
     n = rng.randint(1, 400)
     hot = rng.random() * 100
@@ -60,8 +63,25 @@ def test_slots_are_not_sent_through_a_hash(spark):
 
 def test_ranks_outside_of_their_bracket_are_found_all_the_same(spark, monkeypatch):
     df = spark.range(101).select(F.col("id").cast("double").alias("v"))
-    monkeypatch.setattr(type(df), "approxQuantile", lambda self, columns, ends, error: [[7.0] * len(ends)])
-    assert quantiles(df, ["v"], [0.25, 0.5]) == {("v", 0.25): 25.0, ("v", 0.5): 50.0}
+
+    def least(self, columns, ends, error):
+        return [[self.agg(F.min(c)).first()[0]] * len(ends) for c in columns]
+
+    monkeypatch.setattr(type(df), "approxQuantile", least)
+    assert quantiles(df, ["v"], [0.02, 0.05], at_once=97) == {("v", 0.02): 2.0, ("v", 0.05): 5.0}
+
+
+def test_quantiles_of_many_distinct_values_and_of_one(spark):
+    n = 10**7
+    df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("v"), F.lit(3.5).alias("one"))
+    found = quantiles(df, ["v", "one"], [0.25, 0.99], error=0.001, at_once=50_000)
+    assert found == {("v", p): pytest.approx((n - 1) * p) for p in (0.25, 0.99)} | {("one", p): 3.5 for p in (0.25, 0.99)}
+
+
+def test_quantiles_of_infinite_values_and_nan(spark):
+    inf = math.inf
+    df = spark.createDataFrame([(x,) for x in [-inf] * 20 + [1.0] * 30 + [2.0, math.nan] + [inf] * 20], "v double")
+    assert quantiles(df, ["v"], [0.0, 0.5, 1.0]) == {("v", 0.0): -inf, ("v", 0.5): 1.0, ("v", 1.0): inf}
 
 
 def test_equal_values_are_spread_over_slots(spark):

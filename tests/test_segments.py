@@ -127,6 +127,46 @@ def test_sweep_and_choice(spark, small_rfm):
     assert clustering.choose_k(scores) == max(found, key=lambda r: (r.silhouette, -r.k)).k
 
 
+def test_scores_of_all_k_equal_the_evaluator(spark, small_rfm):
+    from pyspark.ml.functions import vector_to_array
+
+    model = clustering.fit_segments(small_rfm, 4, partitions=2)
+    found = model.transform(small_rfm).persist()
+    centers = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    far = [*centers, [1e6, 1e6, 1e6]]  # a cluster without rows
+    rows = found.select(vector_to_array(clustering.SCALED).alias("x"))
+    scores = {r.k: r for r in clustering.score_centers(rows, {4: centers, 5: far, 1: centers[:1]}).collect()}
+    points = np.array([r.x for r in rows.collect()])
+    errors = ((points[:, None, :] - np.array(centers)[None]) ** 2).sum(axis=2).min(axis=1).sum()
+    assert math.isclose(scores[4].silhouette, clustering.silhouette(found), rel_tol=1e-9)
+    assert scores[5].silhouette == scores[4].silhouette and scores[1].silhouette is None
+    assert math.isclose(scores[4].wssse, errors, rel_tol=1e-9)
+
+
+def test_rows_alone_in_their_cluster_count_nothing(spark):
+    rows = spark.createDataFrame([([0.0, 0.0],), ([0.0, 2.0],), ([9.0, 0.0],), ([9.0, 0.0],), ([50.0, 0.0],)], "x array<double>")
+    score = clustering.score_centers(rows, {3: [(0.0, 0.0), (9.0, 0.0), (50.0, 0.0)]}).first()
+    first, second = 1 - 4 / 81, 1 - 4 / 85
+    assert math.isclose(score.silhouette, (first + second + 1 + 1 + 0) / 5)
+
+
+def test_log_model_keeps_the_measures(spark, small_rfm):
+    from dataclasses import replace
+
+    from tillroll.config import LOG_MODEL, SegmentationConfig
+    from tillroll.operators.outliers import trim_quantiles
+    from tillroll.plans.segmentation import choose, fit_and_label
+
+    config = replace(SegmentationConfig(fit_partitions=2), **{**LOG_MODEL, "k_range": (2, 3)})
+    table = trim_quantiles(small_rfm)
+    assert [r.k for r in choose(table, config).collect()] == [2, 3]
+    labeled, model, score = fit_and_label(table, 3, config)
+    assert {tuple(r) for r in labeled.select(*small_rfm.columns).collect()} == {tuple(r) for r in table.collect()}
+    points = np.log1p(labeled.select(*MEASURES).toPandas().to_numpy(float)) / np.array(model.stages[1].std)
+    nearest = ((points[:, None, :] - np.array(model.stages[-1].clusterCenters())[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == labeled.toPandas()["prediction"]).all() and -1 <= score <= 1
+
+
 def test_choice_takes_the_smaller_k_on_ties(spark):
     scores = spark.createDataFrame([(4, 0.5, 1.0), (3, 0.5, 2.0), (2, 0.1, 3.0)], "k int, silhouette double, wssse double")
     assert clustering.choose_k(scores) == 3

@@ -6,12 +6,13 @@ row's place: the number of its partition and its position in it. Totals per
 partition, one small row each, give the offset at which a partition starts; a
 rank is that offset and the position. Writing the table first freezes the
 places, so that the offsets and the rows always agree, also after a lost
-executor. Exact quantiles need no order of the whole table at all: a sketch
-says between which values a rank must lie, and only rows there are looked at.
+executor. Exact quantiles need no order at all: sketches and counts close in on
+a rank until few values are left around it.
 """
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from tillroll.scratch import materialize
 _SLOT, _POSITION = "_slot", "_position"
 ROWS_PER_SLOT = 100_000
 SKETCH_ERROR = 0.001
+VALUES_AT_ONCE = 50_000  # that go to the driver for one rank
 
 
 def _place(df: DataFrame, order: Sequence[Column], slots: int, label: str) -> DataFrame:
@@ -77,74 +79,125 @@ def with_global_rank(
     )
 
 
+class _Open(NamedTuple):
+    """Where a rank of a column is looked for: strictly between two values, None for no bound.
+
+    ``before`` is the number of values up to ``low``, ``inside`` of those between.
+    """
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int
+    inside: int
+
+    def has(self) -> Column:
+        value = F.col(self.column)
+        found = value.isNotNull()
+        if self.low is not None:
+            found = found & (value > F.lit(self.low))
+        if self.high is not None:
+            found = found & (value < F.lit(self.high))
+        return found
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     error: float = SKETCH_ERROR,
+    values_at_once: int = VALUES_AT_ONCE,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (measure, probability, value). Runs when called.
 
-    A sketch of bounded size brackets each wanted rank: its values are off by
-    ``error`` times the number of rows at most. A second pass counts the rows
-    below each bracket and the values in it, about four times ``error`` of all
-    rows; the wanted ranks are found among those. If a rank were not in its
-    bracket, it would be looked for among all values. Nulls do not count, and a
-    column without values has no quantiles.
+    A rank is first looked for among all values of its column. As long as there
+    are more than ``values_at_once``, a sketch of those that are left proposes
+    two values around the rank, and one pass counts what is below, at, between
+    and above them: the rank is at one of the two, or some four times ``error``
+    of the values are left. Each round is a sketch and a count for all ranks
+    together; the values left at the end, ``values_at_once`` per rank at most,
+    are fetched and sorted. Runs of one value, however long, are settled by
+    their counts. Nulls and NaN do not count, and a column without values has no
+    quantiles.
     """
     spark = df.sparkSession
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wanted = [float(p) for p in probabilities]
-    ends = [max(0.0, p - 2 * error) for p in wanted] + [min(1.0, p + 2 * error) for p in wanted]
-    sketched = numbers.approxQuantile(list(columns), ends, error)
-    brackets = {}
-    for column, values in zip(columns, sketched, strict=True):
-        for k, p in enumerate(wanted if values else ()):
-            low = values[k] if ends[k] > 0 else -math.inf
-            high = values[len(wanted) + k] if ends[len(wanted) + k] < 1 else math.inf
-            brackets[column, p] = (low, high)
-    found = _located(numbers, brackets)
-    missed = {key: (-math.inf, math.inf) for key in brackets if key not in found}
-    found |= _located(numbers, missed)
-    rows = [(column, p, value) for (column, p), value in found.items()]
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    sizes = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    wanted = [(c, float(p), (sizes[c] - 1) * float(p)) for c in columns if sizes[c] for p in probabilities]
+    ranks = {(c, whole) for c, _, place in wanted for whole in (math.floor(place), math.ceil(place))}
+    waiting = {key: _Open(key[0], None, None, 0, sizes[key[0]]) for key in ranks}
+    found: dict[tuple[str, int], float] = {}
+    while waiting:
+        few = {key: where for key, where in waiting.items() if where.inside <= values_at_once}
+        found |= _fetched(numbers, few)
+        narrowed = _narrowed(numbers, {key: where for key, where in waiting.items() if key not in few}, error)
+        waiting = {}
+        for key, result in narrowed.items():
+            if isinstance(result, _Open):
+                waiting[key] = result
+            else:
+                found[key] = result
+    rows = []
+    for c, p, place in wanted:
+        low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
+        rows.append((c, p, low if low == high else low + (high - low) * (place % 1)))
     return spark.createDataFrame(rows, "measure string, probability double, value double")
 
 
-def _located(numbers: DataFrame, brackets: dict[tuple[str, float], tuple[float, float]]) -> dict[tuple[str, float], float]:
-    """Interpolated quantiles whose ranks lie in their brackets."""
-    if not brackets:
+def _fetched(numbers: DataFrame, few: dict[tuple[str, int], _Open]) -> dict[tuple[str, int], float]:
+    """Values at ranks that have few values around them."""
+    if not few:
         return {}
-    keys = list(brackets)
-    counts = numbers.agg(
-        *[F.count(c).alias(f"n{k}") for k, (c, _) in enumerate(keys)],
-        *[F.count_if(F.col(c) < brackets[c, p][0]).alias(f"below{k}") for k, (c, p) in enumerate(keys)],
-    ).first()
-    # The two ranks to interpolate between, counted from the bracket's first value.
-    ranks = {}
-    for k, (_, p) in enumerate(keys):
-        position = (counts[f"n{k}"] - 1) * p
-        ranks[k] = (math.floor(position) - counts[f"below{k}"], math.ceil(position) - counts[f"below{k}"], position % 1)
-    inside = [
-        F.when(F.col(c).between(*brackets[c, p]), F.struct(F.lit(k).alias("k"), F.col(c).alias("value")))
-        for k, (c, p) in enumerate(keys)
-    ]
-    values = numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("hit")).select("hit.*")
-    summed = values.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("k").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    table = summed.withColumn("stop", F.sum("n").over(upto))
-    hit = F.lit(False)
-    for k, (low, high, _) in ranks.items():
-        for rank in {low, high}:
-            hit = hit | ((F.col("k") == k) & (F.col("stop") - F.col("n") <= rank) & (F.lit(rank) < F.col("stop")))
-    # Two rows per column and probability at most.
-    located: dict[int, list] = {}
-    for row in table.filter(hit).collect():
-        located.setdefault(row.k, []).append(row)
-    found = {}
-    for k, (low, high, fraction) in ranks.items():
-        at = {
-            rank: next((r.value for r in located.get(k, ()) if r.stop - r.n <= rank < r.stop), None) for rank in (low, high)
+    places = list(dict.fromkeys(few.values()))
+    values = numbers.agg(*[F.sort_array(F.collect_list(F.when(w.has(), F.col(w.column)))).alias(f"v{i}") for i, w in enumerate(places)])
+    arrays = values.first()
+    return {key: arrays[f"v{places.index(where)}"][key[1] - where.before] for key, where in few.items()}
+
+
+def _narrowed(numbers: DataFrame, many: dict[tuple[str, int], _Open], error: float) -> dict[tuple[str, int], _Open | float]:
+    """One round for all ranks: the value at the rank, or a narrower place for it."""
+    if not many:
+        return {}
+    places = list(dict.fromkeys(many.values()))
+    inside = numbers.select(*[F.when(w.has(), F.col(w.column)).alias(f"v{i}") for i, w in enumerate(places)])
+    shares = sorted({_around(rank, w, error)[end] for (_, rank), w in many.items() for end in (0, 1)})
+    sketched = inside.approxQuantile([f"v{i}" for i in range(len(places))], shares, error)
+    proposed = {}
+    for key, where in many.items():
+        values = dict(zip(shares, sketched[places.index(where)]))
+        proposed[key] = tuple(values[share] for share in _around(key[1], where, error))
+    tests = {}
+    for k, (key, where) in enumerate(many.items()):
+        low, high = proposed[key]
+        value, has = F.col(where.column), where.has()
+        tests |= {
+            f"below{k}": has & (value < low),
+            f"low{k}": has & (value == low),
+            f"between{k}": has & (value > low) & (value < high),
+            f"high{k}": has & (value == high) & F.lit(high > low),
         }
-        if None not in at.values():
-            found[keys[k]] = at[low] + (at[high] - at[low]) * fraction
-    return found
+    counts = numbers.agg(*[F.count_if(test).alias(name) for name, test in tests.items()]).first()
+    results: dict[tuple[str, int], _Open | float] = {}
+    for k, (key, where) in enumerate(many.items()):
+        low, high = proposed[key]
+        column, before, rank = where.column, where.before, key[1]
+        steps = [
+            (counts[f"below{k}"], where.low, low),
+            (counts[f"low{k}"], low, None),
+            (counts[f"between{k}"], low, high),
+            (counts[f"high{k}"], high, None),
+        ]
+        for n, start, stop in steps:
+            if rank < before + n:
+                results[key] = start if stop is None else _Open(column, start, stop, before, n)
+                break
+            before += n
+        else:
+            results[key] = _Open(column, high, where.high, before, where.inside + where.before - before)
+    return results
+
+
+def _around(rank: int, where: _Open, error: float) -> tuple[float, float]:
+    """Shares of the values inside between which a rank lies, whatever the error of a sketch."""
+    share = (rank - where.before) / max(where.inside - 1, 1)
+    return max(0.0, share - 2 * error), min(1.0, share + 2 * error)

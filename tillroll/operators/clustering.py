@@ -1,6 +1,7 @@
 """K-means on scaled measures, the choice of k, silhouette and projection."""
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -73,23 +74,79 @@ def sweep_k(
     """Silhouette and within-cluster squared error per k: (k, silhouette, wssse).
 
     The scaled rows do not depend on k: they are computed and kept once, and
-    only K-means is fitted per k, up to ``parallelism`` fits at a time.
+    only K-means is fitted per k, up to ``parallelism`` fits at a time. All k are
+    scored together.
     """
     prepared = Pipeline(stages=feature_stages())
-    laid_out = stable_layout(rfm, partitions)
+    laid_out = stable_layout(rfm, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     scaled = prepared.fit(laid_out).transform(laid_out).select(SCALED).persist(StorageLevel.MEMORY_AND_DISK)
 
     @inheritable_thread_target(rfm.sparkSession)
-    def score(k: int) -> tuple[int, float, float]:
-        model = kmeans(k, seed, max_iter).fit(scaled)
-        return k, silhouette(model.transform(scaled)), model.summary.trainingCost
+    def fit(k: int) -> list[list[float]]:
+        return [[float(x) for x in center] for center in kmeans(k, seed, max_iter).fit(scaled).clusterCenters()]
 
     try:
+        scaled.count()  # once, not by several fits at a time
+        laid_out.unpersist()
         with ThreadPool(parallelism) as pool:
-            rows = pool.map(score, ks)
+            centers = dict(zip(ks, pool.map(fit, ks)))
+        return score_centers(scaled.select(vector_to_array(SCALED).alias("x")), centers)
     finally:
+        laid_out.unpersist()
         scaled.unpersist()
-    return rfm.sparkSession.createDataFrame(rows, "k int, silhouette double, wssse double")
+
+
+def _added(terms: Iterable[str]) -> str:
+    return " + ".join(["0D", *terms])
+
+
+def score_centers(rows: DataFrame, centers: dict[int, Sequence[Sequence[float]]]) -> DataFrame:
+    """Silhouette and squared error of several clusterings of the same rows at once: (k, silhouette, wssse).
+
+    ``rows`` have an array ``x``; ``centers`` are the centres by k, and a row is
+    in the cluster of the nearest, the first one on ties. The mean squared
+    distance of a row to the rows of a cluster follows from the cluster's size,
+    sum and squared norms. So one pass sums those of every cluster of every k,
+    and a second one takes the mean of the rows' silhouettes: two reads whatever
+    the number of k. A row alone in its cluster counts 0. Clusters without rows
+    are no neighbours; a single cluster has no silhouette (null). The
+    expressions are SQL texts: they have a term per k, cluster and coordinate.
+    """
+    width = len(next(iter(centers.values()))[0])
+    at = [f"x{i}" for i in range(width)]
+
+    def nearest(cs: Sequence[Sequence[float]]) -> str:
+        distances = [_added(f"({a} - {float(c)!r}D) * ({a} - {float(c)!r}D)" for a, c in zip(at, center)) for center in cs]
+        return f"array_min(array({', '.join(f'struct({d} AS d, {i} AS c)' for i, d in enumerate(distances))}))"
+
+    points = rows.selectExpr(*[f"x[{i}] AS {a}" for i, a in enumerate(at)]).withColumn("norm", F.expr(_added(f"{a} * {a}" for a in at)))
+    found = points.selectExpr("*", *[f"{nearest(cs)} AS k{k}" for k, cs in centers.items()])
+    placed = ", ".join(f"struct({k} AS k, k{k}.c AS c, k{k}.d AS d)" for k in centers)
+    sums = (
+        found.selectExpr(*at, "norm", f"inline(array({placed}))")
+        .groupBy("k", "c")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("error"), F.sum("norm").alias("norms"), *[F.sum(a).alias(a) for a in at])
+        .orderBy("k", "c")
+        .collect()  # a row per cluster
+    )
+    means, pairs, errors = [], [], {}
+    for k in centers:
+        clusters = [r for r in sums if r["k"] == k]
+        errors[k] = math.fsum(r["error"] for r in clusters)
+        if len(clusters) < 2:
+            means.append(F.lit(None).cast("double").alias(f"k{k}"))
+            continue
+        totals = [f"norm * {r['n']} + {r['norms']!r}D - 2D * ({_added(f'{a} * {r[a]!r}D' for a in at)})" for r in clusters]
+        own = " ".join(f"WHEN {r['c']} THEN ({t}) / {max(r['n'] - 1, 1)}D" for r, t in zip(clusters, totals))
+        others = ", ".join(f"if(k{k}.c = {r['c']}, null, ({t}) / {r['n']}D)" for r, t in zip(clusters, totals))
+        alone = ", ".join(str(r["c"]) for r in clusters if r["n"] == 1) or "-1"
+        pairs.append(f"greatest(CASE k{k}.c {own} END, 0D) AS a{k}")
+        pairs.append(f"greatest(array_min(array({others})), 0D) AS b{k}")
+        score = f"CASE WHEN k{k}.c IN ({alone}) OR greatest(a{k}, b{k}) = 0 THEN 0D ELSE (b{k} - a{k}) / greatest(a{k}, b{k}) END"
+        means.append(F.expr(f"avg({score}) AS k{k}"))
+    found_means = found.selectExpr(*[f"k{k}" for k in centers], *pairs).agg(*means).first()
+    scores = [(k, found_means[f"k{k}"], errors[k]) for k in centers]
+    return rows.sparkSession.createDataFrame(scores, "k int, silhouette double, wssse double")
 
 
 def choose_k(scores: DataFrame) -> int:
@@ -128,10 +185,11 @@ def silhouette_of_scaled(assigned: DataFrame) -> float:
     return silhouette(vectors.select(SCALED, "prediction"))
 
 
-def pca_projection(rfm: DataFrame) -> DataFrame:
+def pca_projection(rfm: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """First two principal components of the centred measures and their share of the variance.
 
-    The sign of a component is arbitrary; the loading of largest size is made positive.
+    The sign of a component is arbitrary; the loading of largest size is made
+    positive. Columns in ``keep``, such as the cluster, come along.
     """
     stages = [
         VectorAssembler(inputCols=MEASURES, outputCol=FEATURES),
@@ -145,6 +203,7 @@ def pca_projection(rfm: DataFrame) -> DataFrame:
     values = vector_to_array("components")
     return model.transform(rfm).select(
         *CUSTOMER_KEYS,
+        *keep,
         *[(values[i] * F.lit(signs[i])).alias(f"pc{i + 1}") for i in range(2)],
         *[F.lit(float(ratios[i])).alias(f"pc{i + 1}_ratio") for i in range(2)],
     )

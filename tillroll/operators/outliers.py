@@ -65,6 +65,22 @@ def within(rfm: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
     return rfm.filter(~_any_outside(bounds))
 
 
+def trim_bounds(
+    rfm: DataFrame, lower: float = 0.01, upper: float = 0.99, relative_error: float = 0.0
+) -> dict[str, tuple[float, float]]:
+    """Two quantiles per measure, each of the rows that the measures before it have left."""
+    bounds: dict[str, tuple[float, float]] = {}
+    for measure in MEASURES:
+        left = within(rfm, bounds)
+        if relative_error:
+            found = left.approxQuantile(measure, [lower, upper], relative_error)
+        else:
+            found = sorted(row["value"] for row in exact_quantiles(left, [measure], [lower, upper]).collect())
+        if found:
+            bounds[measure] = (found[0], found[-1])
+    return bounds
+
+
 def trim_quantiles(
     rfm: DataFrame, lower: float = 0.01, upper: float = 0.99, relative_error: float = 0.0
 ) -> DataFrame:
@@ -72,15 +88,7 @@ def trim_quantiles(
 
     A ``relative_error`` above 0 takes bounded-size sketches instead of exact quantiles.
     """
-    for measure in MEASURES:
-        if relative_error:
-            bounds = rfm.approxQuantile(measure, [lower, upper], relative_error)
-        else:
-            found = exact_quantiles(rfm, [measure], [lower, upper]).collect()
-            bounds = sorted(row["value"] for row in found)
-        if bounds:
-            rfm = rfm.filter(F.col(measure).between(bounds[0], bounds[-1]))
-    return rfm
+    return within(rfm, trim_bounds(rfm, lower, upper, relative_error))
 
 
 def outlier_rows(rfm: DataFrame, factor: float = 1.5) -> DataFrame:

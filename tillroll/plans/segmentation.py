@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tillroll.config import SegmentationConfig
 from tillroll.operators.clustering import choose_k, fit_segments, silhouette, sweep_k
-from tillroll.operators.features import build_rfm, clean, split_by_customer
-from tillroll.operators.outliers import fences, within
+from tillroll.operators.features import build_rfm, clean, rfm_log, split_by_customer
+from tillroll.operators.outliers import fences, trim_bounds, within
 from tillroll.operators.segments import label_clusters
+from tillroll.schema import MEASURES
 from tillroll.sinks.archive import archive, archive_by_segment, write_rules, write_run_metadata
 from tillroll.sinks.lists import ExportReport, export_segment
 from tillroll.sources.transactions import read_transactions
@@ -30,15 +31,34 @@ class RunReport:
     labeled: DataFrame
 
 
+def model_measures(rfm: DataFrame, config: SegmentationConfig) -> DataFrame:
+    """What clusters are found on: the measures or their logarithms."""
+    return rfm_log(rfm) if config.log_measures else rfm
+
+
+def choose(rfm: DataFrame, config: SegmentationConfig = SegmentationConfig()) -> DataFrame:
+    """Scores of every k of the config: (k, silhouette, wssse)."""
+    table = model_measures(rfm, config)
+    return sweep_k(table, config.k_range, config.seed, config.max_iter, config.sweep_parallelism, config.fit_partitions)
+
+
+def predicted(rfm: DataFrame, model: PipelineModel, config: SegmentationConfig = SegmentationConfig()) -> DataFrame:
+    """Rows with their cluster; the measures stay as they are, also where the model sees their logarithms."""
+    if not config.log_measures:
+        return model.transform(rfm)
+    kept = rfm.withColumns({f"_{m}": F.col(m) for m in MEASURES})
+    return model.transform(rfm_log(kept)).withColumns({m: F.col(f"_{m}") for m in MEASURES}).drop(*[f"_{m}" for m in MEASURES])
+
+
 def fit_and_label(
     rfm: DataFrame, k: int, config: SegmentationConfig = SegmentationConfig()
 ) -> tuple[DataFrame, PipelineModel, float]:
     """Fit on the train split, score on the test split, label every row."""
     split = split_by_customer(rfm, config.train_percent, config.seed)
-    train = split.filter("split = 'train'").drop("split")
-    model = fit_segments(train, k, config.seed, config.max_iter, config.fit_partitions, config.init_mode)
-    score = silhouette(model.transform(split.filter("split = 'test'").drop("split")))
-    return label_clusters(model.transform(rfm), config.segment_names), model, score
+    train = model_measures(split.filter("split = 'train'").drop("split"), config)
+    model = fit_segments(train, k, config.seed, config.final_max_iter or config.max_iter, config.fit_partitions, config.init_mode)
+    score = silhouette(predicted(split.filter("split = 'test'").drop("split"), model, config))
+    return label_clusters(predicted(rfm, model, config), config.segment_names), model, score
 
 
 def run_segmentation(spark: SparkSession, config: SegmentationConfig, run_id: str | None = None) -> RunReport:
@@ -53,11 +73,10 @@ def run_segmentation(spark: SparkSession, config: SegmentationConfig, run_id: st
         raw = archive(raw, folder, "raw_data", run_id)
     cleaned = archive(clean(raw, config.id_type), folder, "cleaned_transactions", run_id)
     all_rfm = archive(build_rfm(cleaned, recency_max_days=config.recency_max_days), folder, "rfm_all", run_id)
-    bounds = fences(all_rfm, config.iqr_factor)
+    bounds = trim_bounds(all_rfm, *config.trim) if config.trim else fences(all_rfm, config.iqr_factor)
     rfm = archive(within(all_rfm, bounds), folder, "rfm_features", run_id)
 
-    scores = sweep_k(rfm, config.k_range, config.seed, config.max_iter, config.sweep_parallelism, config.fit_partitions)
-    best_k = choose_k(scores)
+    best_k = choose_k(choose(rfm, config))
     predictions, model, score = fit_and_label(rfm, best_k, config)
     log.info("k=%d, silhouette on the test split %.4f", best_k, score)
     model.write().overwrite().save(f"{folder}/model_{run_id}")

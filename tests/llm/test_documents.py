@@ -120,6 +120,26 @@ def test_few_pivots_lose_no_link(spark, copies):
     assert groups(found) == groups(name)
 
 
+@pytest.mark.parametrize("pivots", [16, 256])
+def test_mutually_near_nodes_make_few_links(spark, pivots):
+    """A bucket of n nodes that are all near each other: fewer links than nodes in each group of blocks."""
+    n = 120
+    rows = [(1, node, node, list(range(100)), 0, n - 1) for node in range(n)]
+    left = spark.createDataFrame(rows, "key long, node long, component long, shingles array<long>, largest long, others long")
+    found = minhash._across(left, 0.8, pivots).collect()
+    groups = -(-(n - 1) // pivots)
+    assert len(found) <= groups * (n - 1)
+    table = spark.createDataFrame(found, "a long, b long")
+    assert {r.component for r in minhash.components(table).collect()} == {0}
+
+
+def test_repeated_shingles_weigh_more_within_a_bound():
+    elements, weights = minhash.weighted_shingles("a b c d e " * 9 + "once only here f g")
+    assert (minhash.shingles("a b c d e " * 9 + "once only here f g") == elements).all()
+    assert weights.min() == 1 and 1 < weights.max() < 1 + minhash.GAIN
+    assert minhash.weighted_shingles(None)[1].size == 0
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     a, b = np.arange(0, 60, dtype=np.uint64), np.arange(15, 75, dtype=np.uint64)

@@ -17,8 +17,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from expected_sql import expected_sql  # noqa: E402
 from tillroll.config import LOG_MODEL, SegmentationConfig  # noqa: E402
 from tillroll.functions.columns import is_usable_line  # noqa: E402
-from tillroll.operators import clustering, features, orders, outliers, quality, segments, value  # noqa: E402
-from tillroll.plans.segmentation import choose, fit_and_label  # noqa: E402
+from tillroll.operators import clustering, features, orders, outliers, partials, quality, segments, value  # noqa: E402
+from tillroll.plans.segmentation import choose, fit_and_label, run_segmentation  # noqa: E402
 from tillroll.schema import EXPORT_COLUMNS, MEASURES, TRANSACTIONS  # noqa: E402
 from tillroll.scratch import materialize, scratch_path  # noqa: E402
 from tillroll.sinks.archive import archive, archive_by_segment  # noqa: E402
@@ -167,6 +167,61 @@ def _pca_projection_log(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_rounded(found, 4, "pc1", "pc2"), 6, "pc1_ratio", "pc2_ratio")
 
 
+def _rfm_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Days in two parts, then the last 40 days of the first part once more."""
+    rows = materialize(tx(spark, sf), "days")
+    day, cut = F.to_date("invoice_date"), F.lit("1998-04-01").cast("date")
+    path = scratch_path(spark, "day-partials")
+    for part in (day < cut, day >= cut, (day < cut) & (day >= F.date_sub(cut, 40))):
+        partials.put_days(rows.filter(part), path)
+    return partials.rfm_of_days(spark, path)
+
+
+SPAN = 7
+
+
+def _daily_iqr_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Per day the number of values of the week up to it, and whether the bounds are those of quartiles within the rank error.
+
+    The ranks of the quartiles are counted among the values themselves.
+    """
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    day = F.to_date("ts")
+    found = materialize(partials.trailing_bounds(partials.day_sketches(events, day, F.col("value")), SPAN), "bounds")
+    spans = F.explode(F.sequence(day, F.date_add(day, SPAN - 1))).alias("day")
+    values = events.filter("value IS NOT NULL AND ts IS NOT NULL").select(spans, F.col("value").alias("v"))
+    counted = values.join(found, "day").groupBy("day").agg(
+        F.first("n").alias("n"),
+        *[F.count_if(F.col("v") < F.col(q)).alias(f"{q}_below") for q in ("q1", "q3")],
+        *[F.count_if(F.col("v") <= F.col(q)).alias(f"{q}_upto") for q in ("q1", "q3")],
+        F.first(F.round(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")) - F.col("lower_bound"), 9)).alias("low"),
+        F.first(F.round(F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")) - F.col("upper_bound"), 9)).alias("high"),
+    )
+    error = partials.SKETCH_RANK_ERROR
+    within = F.lit(True)
+    for q, share in (("q1", 0.25), ("q3", 0.75)):
+        within = within & (F.col(f"{q}_below") <= (share + error) * F.col("n") + 1) & (F.col(f"{q}_upto") >= (share - error) * F.col("n") - 1)
+    return counted.select("day", "n", within.alias("within"), ((F.col("low") == 0) & (F.col("high") == 0)).alias("fences"))
+
+
+def _segmentation_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch job from files to lists, and the JSON record that it leaves; k is whatever the sweep has chosen."""
+    source, folder = scratch_path(spark, "job-source"), scratch_path(spark, "job")
+    tx(spark, sf).write.parquet(source)
+    config = replace(FITTED, source=source, source_format="parquet", archive_dir=f"{folder}/archive", export_dir=f"{folder}/lists", k_range=(3, 4, 5))
+    report = run_segmentation(spark, config, "job")
+    record = spark.read.schema("timestamp string, total_raw_rows long, cleaned_rows long, rfm_customers long, final_customers long, best_k long")
+    listed = spark.read.schema(LIST_SCHEMA).csv(report.exports[0].path, header=True).count()
+    return record.json(f"{folder}/archive/pipeline_metadata_job").select(
+        "total_raw_rows",
+        "cleaned_rows",
+        "rfm_customers",
+        "final_customers",
+        F.col("best_k").isin(3, 4, 5).alias("k_in_range"),
+        F.lit(0 < listed == report.exports[0].exported).alias("listed"),
+    )
+
+
 def _quantile_trim_approx(spark: SparkSession, sf: str) -> DataFrame:
     """Whether the share of rows below each sketched bound of the trim is within the promised error."""
     table = rfm(spark, sf)
@@ -335,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_orders_top_countries": lambda s, d: orders.daily_orders_top_countries(tx(s, d)),
         # RFM features
         "rfm": rfm,
+        "rfm_incremental": _rfm_incremental,
         "rfm_as_of": lambda s, d: features.build_rfm(cleaned(s, d), as_of=datetime.date(2001, 12, 31)),
         "rfm_describe": lambda s, d: features.rfm_describe(rfm(s, d)),
         "top_spenders": lambda s, d: features.top_spenders(rfm(s, d)),
@@ -344,6 +400,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_test_random": _train_test_random,
         # outliers
         "iqr_bounds": lambda s, d: _rounded(outliers.iqr_bounds(rfm(s, d)), 6, "q1", "q3", "lower_bound", "upper_bound"),
+        "daily_iqr_bounds": _daily_iqr_bounds,
         "outlier_summary": lambda s, d: outliers.outlier_summary(rfm(s, d)),
         "outlier_summary_tight": lambda s, d: outliers.outlier_summary(rfm(s, d), factor=0.5),
         "rfm_outliers_removed": lambda s, d: outliers.remove_outliers(rfm(s, d)),
@@ -370,6 +427,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_profile_norm": lambda s, d: segments.cluster_profile_normalised(labeled(s, d)),
         "kmeans_segments": _kmeans_segments,
         "kmeans_log_segments": _kmeans_log_segments,
+        "segmentation_run": _segmentation_run,
         "sweep_of_given_centers": _sweep_of_given_centers,
         "select_k": _select_k,
         "k_sweep": _k_sweep,

@@ -424,6 +424,18 @@ def expected_sql() -> dict[str, str]:
         ),
         # RFM features
         "rfm": q("rfm", "SELECT * FROM rfm"),
+        "rfm_incremental": q("rfm", "SELECT * FROM rfm"),
+        "daily_iqr_bounds": """
+            WITH e AS (SELECT cast(ts AS date) AS day FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)
+            SELECT d.day, count(*) AS n, true AS within, true AS fences
+            FROM (SELECT DISTINCT day FROM e) d JOIN e ON e.day BETWEEN d.day - 6 AND d.day GROUP BY d.day""",
+        "segmentation_run": q(
+            "quartiles",
+            f"""SELECT (SELECT count(*) FROM tx) AS total_raw_rows, (SELECT count(*) FROM cleaned) AS cleaned_rows,
+                       (SELECT count(*) FROM rfm) AS rfm_customers,
+                       (SELECT count(*) FROM rfm WHERE NOT ({_fenced(1.5)})) AS final_customers,
+                       true AS k_in_range, true AS listed""",
+        ),
         "rfm_as_of": q(
             "totals",
             """SELECT * FROM (SELECT customer_id, country,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillroll.functions.sizing import partitions_for
-from tillroll.scratch import materialize
+from tillroll.scratch import materialize, materialize_bucketed
 
 _SLOT, _POSITION = "_slot", "_position"
 ROWS_PER_SLOT = 100_000
@@ -27,15 +27,22 @@ SKETCH_ERROR = 0.001
 VALUES_AT_ONCE = 50_000  # that go to the driver for one rank
 
 
-def _place(df: DataFrame, order: Sequence[Column], slots: int, label: str) -> DataFrame:
-    """Rows with their slot and, from 0, their position in it; written in order."""
+MOST_BUCKETS = 10_000
+
+
+def _place(df: DataFrame, order: Sequence[Column], slots: int, label: str, bucketed: bool = False) -> DataFrame:
+    """Rows with their slot and, from 0, their position in it; written in order.
+
+    ``bucketed`` writes them as a table in buckets of slots: a window by slot
+    then reads it as it lies.
+    """
     placed = df.repartitionByRange(slots, *order).sortWithinPartitions(*order)
     # Numbers rows as they come: the partition in the upper bits, the position in the lower 33.
-    place = F.monotonically_increasing_id()
-    kept = materialize(placed.withColumn("_place", place), label)
-    return kept.withColumns(
-        {_SLOT: F.shiftright("_place", 33).cast("int"), _POSITION: F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))}
-    ).drop("_place")
+    place = placed.withColumn("_place", F.monotonically_increasing_id())
+    split = {_SLOT: F.shiftright("_place", 33).cast("int"), _POSITION: F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))}
+    if not bucketed:
+        return materialize(place, label).withColumns(split).drop("_place")
+    return materialize_bucketed(place.withColumns(split).drop("_place"), label, min(slots, MOST_BUCKETS), _SLOT)
 
 
 def with_global_rank(
@@ -52,7 +59,7 @@ def with_global_rank(
     """
     totals = totals or {}
     slots = partitions_for(df, rows_per_slot)
-    placed = _place(df, order, slots, "ranked")
+    placed = _place(df, order, slots, "ranked", bucketed=bool(totals))
     sizes = placed.groupBy(_SLOT).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_{n}") for n, c in totals.items()]
     )
@@ -70,7 +77,7 @@ def with_global_rank(
     if not totals:
         return ranked.select(*df.columns, rank, F.col("_rows_total").alias("row_total"))
     upto = Window.partitionBy(_SLOT).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranked.repartitionById(slots, _SLOT).select(
+    return ranked.select(
         *df.columns,
         rank,
         F.col("_rows_total").alias("row_total"),

@@ -140,3 +140,27 @@ def test_profile_has_all_reports(spark, small_tx):
 def test_cleaning_matches_documented_counts(spark, small_tx):
     assert clean(small_tx).count() == 4403
     assert small_tx.filter(F.col("customer_id").isNull()).count() == 1280
+
+
+def test_profile_reads_its_source_once_and_equals_single_reports(spark, small_tx, monkeypatch):
+    from tillroll.operators import orders, quality
+    from tillroll.plans import profiling
+
+    written = []
+
+    def watched(df, label):
+        written.append(set(df.inputFiles()))
+        return materialize(df, label)
+
+    from tillroll.scratch import materialize
+
+    monkeypatch.setattr(profiling, "materialize", watched)
+    reports = profiling.profile(small_tx)
+    source = set(small_tx.inputFiles())
+    reads = [*written, *[set(r.inputFiles()) for r in reports.values()]]
+    assert source and sum(bool(source & files) for files in reads) == 1
+    for name, report in reports.items():
+        module = orders if hasattr(orders, name) else quality
+        single = quality.frequency_table(small_tx, "country") if name == "count_by_country" else getattr(module, name)(small_tx)
+        assert report.dtypes == single.dtypes, name
+        assert sorted(map(repr, report.collect())) == sorted(map(repr, single.collect())), name

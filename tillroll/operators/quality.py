@@ -7,7 +7,7 @@ Sorted reports end their sort key in the group itself: most counts are equal, an
 the key lets the range partitioning of the sort split them.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import exact_sum, is_missing, is_usable_line, percent
@@ -25,12 +25,32 @@ def column_types(df: DataFrame) -> dict[str, list[str]]:
     return kinds
 
 
-def _copies(df: DataFrame) -> DataFrame:
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+COPIES = "copies"
+
+
+def with_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows with the number of their copies. Every report takes such a table in place of the rows themselves."""
+    return df if COPIES in df.columns else df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def _fields(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != COPIES]
+
+
+def _rows(df: DataFrame, test: Column | None = None) -> Column:
+    """Number of rows, or of those that pass a test, with their copies if those are counted."""
+    if COPIES not in df.columns:
+        return F.count(F.lit(1)) if test is None else F.count_if(test)
+    times = F.col(COPIES) if test is None else F.when(test, F.col(COPIES))
+    return F.coalesce(F.sum(times), F.lit(0))
 
 
 def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))
+    return df.agg(*row_count_columns(df))
+
+
+def row_count_columns(df: DataFrame) -> list[Column]:
+    return [_rows(df).alias("rows")]
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
@@ -43,20 +63,28 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.agg(*null_count_columns(df))
+
+
+def null_count_columns(df: DataFrame) -> list[Column]:
+    return [_rows(df, F.col(c).isNull()).alias(c) for c in _fields(df)]
 
 
 def missing_report(df: DataFrame) -> DataFrame:
     """Missing values by type: blank counts as missing text, NaN as a missing number."""
-    return df.agg(*[F.count_if(is_missing(df, c, blank_text=True)).alias(c) for c in df.columns])
+    return df.agg(*missing_columns(df))
+
+
+def missing_columns(df: DataFrame) -> list[Column]:
+    return [_rows(df, is_missing(df, c, blank_text=True)).alias(c) for c in _fields(df)]
 
 
 def frequency_table(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), column)
+    return df.groupBy(column).agg(_rows(df).alias("count")).orderBy(F.desc("count"), column)
 
 
 def duplicate_total(df: DataFrame) -> DataFrame:
-    return _copies(df).agg(
+    return with_copies(df).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_rows"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -64,12 +92,12 @@ def duplicate_total(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    repeated = _copies(df).filter(F.col("copies") > 1).withColumnRenamed("copies", "count")
-    return repeated.orderBy(F.desc("count"), *df.columns)
+    repeated = with_copies(df).filter(F.col("copies") > 1).withColumnRenamed("copies", "count")
+    return repeated.orderBy(F.desc("count"), *_fields(df))
 
 
 def repeated_invoices(df: DataFrame) -> DataFrame:
-    counts = df.groupBy("invoice").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
+    counts = df.groupBy("invoice").agg(_rows(df).alias("count")).filter(F.col("count") > 1)
     return counts.orderBy(F.desc("count"), "invoice")
 
 
@@ -77,7 +105,7 @@ def duplicate_hotspots(df: DataFrame) -> DataFrame:
     """Lines on invoices with several lines, per country."""
     return (
         df.groupBy("country", "invoice")
-        .agg(F.count(F.lit(1)).alias("lines"))
+        .agg(_rows(df).alias("lines"))
         .filter(F.col("lines") > 1)
         .groupBy("country")
         .agg(F.sum("lines").alias("repeated_lines"))
@@ -87,7 +115,7 @@ def duplicate_hotspots(df: DataFrame) -> DataFrame:
 def uniqueness(df: DataFrame) -> DataFrame:
     """Total rows, distinct invoices, distinct whole rows; nulls within a row count as values."""
     by_invoice = (
-        _copies(df)
+        with_copies(df)
         .groupBy("invoice")
         .agg(F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("versions"))
     )
@@ -100,7 +128,8 @@ def uniqueness(df: DataFrame) -> DataFrame:
 
 def invoice_versions(df: DataFrame) -> DataFrame:
     """Invoices whose lines differ: distinct remaining tuples per invoice, above one."""
-    versions = df.distinct().groupBy("invoice").agg(F.count(F.lit(1)).alias("versions"))
+    distinct = df if COPIES in df.columns else df.distinct()
+    versions = distinct.groupBy("invoice").agg(F.count(F.lit(1)).alias("versions"))
     return versions.filter(F.col("versions") > 1).orderBy(F.desc("versions"), "invoice")
 
 
@@ -116,29 +145,40 @@ def invoice_variance_rows(df: DataFrame, top: int = 5) -> DataFrame:
 
 
 def price_summary(df: DataFrame) -> DataFrame:
-    total = exact_sum(F.col("price"))
-    return df.agg(
+    return df.agg(*price_columns(df))
+
+
+def price_columns(df: DataFrame) -> list[Column]:
+    counted = COPIES in df.columns
+    total = exact_sum(F.col("price") * F.col(COPIES) if counted else F.col("price"))
+    known = F.nullif(_rows(df, F.col("price").isNotNull()), F.lit(0)) if counted else F.count("price")
+    return [
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
-        F.round(total.cast("double") / F.count("price"), 6).alias("avg_price"),
+        F.round(total.cast("double") / known, 6).alias("avg_price"),
         total.cast("double").alias("sum_price"),
-    )
+    ]
 
 
 def zero_counts(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count_if(F.col("price") == 0).alias("zero_price"),
-        F.count_if(F.col("quantity") == 0).alias("zero_quantity"),
-    )
+    return df.agg(*zero_columns(df))
+
+
+def zero_columns(df: DataFrame) -> list[Column]:
+    return [_rows(df, F.col("price") == 0).alias("zero_price"), _rows(df, F.col("quantity") == 0).alias("zero_quantity")]
 
 
 def sign_counts(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count_if(F.col("quantity") == 0).alias("qty_zero"),
-        F.count_if(F.col("quantity") < 0).alias("qty_negative"),
-        F.count_if(F.col("price") == 0).alias("price_zero"),
-        F.count_if(F.col("price") < 0).alias("price_negative"),
-    )
+    return df.agg(*sign_columns(df))
+
+
+def sign_columns(df: DataFrame) -> list[Column]:
+    return [
+        _rows(df, F.col("quantity") == 0).alias("qty_zero"),
+        _rows(df, F.col("quantity") < 0).alias("qty_negative"),
+        _rows(df, F.col("price") == 0).alias("price_zero"),
+        _rows(df, F.col("price") < 0).alias("price_negative"),
+    ]
 
 
 def zero_rows(df: DataFrame) -> DataFrame:
@@ -163,7 +203,7 @@ def cleaning_delta(df: DataFrame) -> DataFrame:
     kept = F.count_if(is_usable_line(df))
     raw = F.coalesce(F.sum("copies"), F.lit(0))
     return (
-        _copies(df)
+        with_copies(df)
         .agg(raw.alias("raw_rows"), kept.alias("remaining_rows"))
         .select(
             "raw_rows",
@@ -184,5 +224,5 @@ def removal_reasons(df: DataFrame) -> DataFrame:
         "non_positive": F.when(~F.coalesce(positive, F.lit(False)), F.col("copies")),
         "missing_customer": F.when(is_missing(df, "customer_id"), F.col("copies")),
     }
-    sums = _copies(df).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in reasons.items()])
+    sums = with_copies(df).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in reasons.items()])
     return sums.unpivot([], list(reasons), "reason", "rows")

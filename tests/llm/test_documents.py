@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -406,6 +407,36 @@ def test_pages_of_other_layouts_keep_their_main_text():
     assert right >= 0.97 * total
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 300_000, "<div>" * 16_000 + "</x>" * 16_000, "<b>" * 16_000 + "<div></div>" * 16_000,
+        "<li><ul>" + "<div>" * 16_000 + "<li></li>" * 16_000, '<a "' * 100_000 + ">", "<p>" * 50_000, "<!--" * 100_000,
+    ],
+    ids=["open tags", "unmatched ends", "inline depth", "item depth", "quotes", "paragraphs", "comments"],
+)
+def test_malformed_pages_take_time_in_proportion(page):
+    """Each took time with the square of its length once: hours for a megabyte."""
+    start = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - start < 4
+
+
+@pytest.mark.parametrize(
+    "comments",
+    [
+        '<section class="comments"><h2>Comments</h2><p>I like this text a lot</p><p>Me too, thanks for it</p></section>',
+        '<div id="comments"><div class="comment"><b>Al</b><p>What a nice thing to read on a day like this</p></div></div>',
+        '<ul class="comment-list"><li>Nice</li><li>Very good text indeed, thanks</li></ul>',
+    ],
+)
+def test_comments_inside_of_an_article_are_left_out(comments):
+    words = "Good words that say something about the matter at hand. " * 5
+    article = f"<article><h1>Title</h1>{f'<p>{words}</p>' * 3}{comments}</article>"
+    found = html_text.main_text(f'<html><body><nav><a href="/">Home</a></nav>{article}<footer>x</footer></body></html>', html_text.default_model())
+    assert found == "\n".join(["Title", *[words.strip()] * 3])
+
+
 def test_marginals_are_those_of_enumeration():
     import itertools
     import math

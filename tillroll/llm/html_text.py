@@ -14,8 +14,8 @@ import functools
 import html
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -42,6 +42,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<",
     re.S,
 )
+_BEHIND = re.compile(r"<[!?].*|(?:[^<]|<(?![!?]))+", re.S)  # without any > further on
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(\bhidden\b)""")
 _NAME_PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -76,26 +77,34 @@ def _names(tag: str, attributes: str) -> tuple[list[str], str | None, bool]:
 
 
 def parse(page: str) -> Page:
-    """Read a page as browsers do in the main: raw text, void elements, implied ends and missing ones."""
+    """Read a page as browsers do in the main: raw text, void elements, implied ends and missing ones.
+
+    Takes time in proportion to the page, however malformed: the depths of open
+    elements are kept by tag, and what is behind the last `>` holds no tags.
+    """
     parent, names, label, unseen, texts, links = [-1], [[]], [None], [False], [0], [0]
     tags = [""]
     events: list[tuple[int, str] | None] = []
     stack = [0]
+    opened: defaultdict[str, list[int]] = defaultdict(list)
+    blocks = [0]  # depths of open elements that are not inline
     in_link = 0
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
 
     def close(depth: int) -> None:
         nonlocal in_link
         for node in stack[depth:]:
             in_link -= tags[node] == "a"
+            opened[tags[node]].pop()
             if tags[node] not in INLINE:
+                blocks.pop()
                 events.append(None)
         del stack[depth:]
 
     while at < n:
-        token = _TOKEN.match(page, at)
+        token = _TOKEN.match(page, at) if at <= last else _BEHIND.match(page, at)
         at = token.end()
-        tag = token[2] or token[5]
+        tag = (token[2] or token[5]) if token.re is _TOKEN else None
         if tag is None:
             text = token.group()
             if text.startswith(("<!", "<?")):
@@ -117,16 +126,14 @@ def parse(page: str) -> Page:
             continue
         tag = tag.lower()
         if token[1] or token[4]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == tag:
-                    close(depth)
-                    break
+            if opened[tag]:
+                close(opened[tag][-1])
             continue
         if tag == "br":
             events.append((-1, " "))
             continue
         if tag not in INLINE and tag not in VOID:
-            _close_implied(tag, tags, stack, close)
+            _close_implied(tag, opened, blocks, close)
         found, marked, hidden = _names(tag, token[3] if token[2] else token[6])
         top = stack[-1]
         node = len(parent)
@@ -143,6 +150,9 @@ def parse(page: str) -> Page:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
         elif tag not in VOID and not (token.group().endswith("/>") and unseen[top]):
+            opened[tag].append(len(stack))
+            if tag not in INLINE:
+                blocks.append(len(stack))
             stack.append(node)
             in_link += tag == "a"
     for node in range(len(parent) - 1, 0, -1):
@@ -158,23 +168,19 @@ def parse(page: str) -> Page:
     return Page(parent, features, label, events, unseen)
 
 
-def _close_implied(tag: str, tags: list[str], stack: list[int], close) -> None:
+def _close_implied(tag: str, opened: dict[str, list[int]], blocks: list[int], close: Callable[[int], None]) -> None:
     """Ends that a start tag implies: of a paragraph, or of the item before."""
-    for depth in range(len(stack) - 1, 0, -1):
-        open_ = tags[stack[depth]]
-        if open_ == "p":
-            close(depth)
-            break
-        if open_ not in INLINE:
-            break
+
+    def innermost(names: tuple[str, ...]) -> int:
+        return max((opened[name][-1] for name in names if opened[name]), default=0)
+
+    paragraph = innermost(("p",))
+    if paragraph and paragraph == blocks[-1]:
+        close(paragraph)
     if tag in CLOSES_ITSELF:
-        for depth in range(len(stack) - 1, 0, -1):
-            open_ = tags[stack[depth]]
-            if open_ in ALIKE.get(tag, (tag,)):
-                close(depth)
-                return
-            if open_ in CLOSES_ITSELF[tag]:
-                return
+        before = innermost(ALIKE.get(tag, (tag,)))
+        if before > innermost(CLOSES_ITSELF[tag]):
+            close(before)
 
 
 OUTER, MAIN, REST = 0, 1, 2

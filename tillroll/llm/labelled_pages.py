@@ -74,6 +74,12 @@ _INSIDE = (
     '<div class="newsletter notice" {r}><p>{sentence}</p></div>',
     '<form {r}><input><button>{short}</button></form>',
 )
+_COMMENTS = (
+    *_AFTER[:3],
+    '<section class="comments" {r}><h2>{short}</h2><p>{sentence}</p><p>{sentence}</p></section>',
+    '<div class="comments-area" {r}><h3>{short}</h3><ul><li>{short}: {sentence}</li><li>{short}: {paragraph}</li></ul></div>',
+    '<aside id="comments" {r}><div class="comment"><a href="/u">{short}</a><p>{paragraph}</p></div><form><button>{short}</button></form></aside>',
+)
 _TEXTS = (
     "<p>{paragraph}</p>",
     "<p>{paragraph}</p>",
@@ -133,7 +139,8 @@ def labelled_pages(n: int = 800, seed: int = 7) -> list[str]:
         if rng.random() < 0.1:  # no container: the texts are in the page itself
             body += [re.sub(r"^<(\w+)", rf"<\1 {MAIN}", text) if REST not in text else text for text in texts]
         else:
-            body += [_part(rng, begin), *texts, end]
+            comments = [_part(rng, rng.choice(_COMMENTS))] if rng.random() < 0.25 else []
+            body += [_part(rng, begin), *texts, *comments, end]
         body += [_part(rng, rng.choice(_OUTSIDE)) for _ in range(rng.choice((0, 0, 1, 2)))]
         body += [_part(rng, rng.choice(_AFTER)) for _ in range(rng.randint(1, 3))]
         if rng.random() < 0.5:

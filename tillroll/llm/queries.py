@@ -105,9 +105,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        "n_upper_words",
         "base_failed",
         "kept",
+        "n_upper_words",
     )
 
 
@@ -249,8 +249,8 @@ chosen AS (SELECT a.lang, a.source, a.rate,
                 JOIN fences c ON c.level = 2 AND a.rate = c.rate WHERE a.level = 0),
 verdict AS (SELECT rid, bool_and(low <= highest AND (rate <> 'word_length' OR low >= lowest)) AS inside
             FROM bucketed JOIN chosen USING (lang, source, rate) GROUP BY rid)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper_words, base_failed,
-       coalesce(inside, false) AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(inside, false) AS kept, n_upper_words
 FROM judged LEFT JOIN verdict USING (rid)"""
 
 

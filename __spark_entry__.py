@@ -366,7 +366,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "description_lookup": lambda s, d: quality.lookup(tx(s, d), "description", "small ring"),
         "zero_rows": lambda s, d: quality.zero_rows(tx(s, d)),
         "invalid_rows": lambda s, d: quality.invalid_rows(tx(s, d)),
-        "invoice_variance_rows": lambda s, d: quality.invoice_variance_rows(tx(s, d)),
+        "invoice_variance_rows": lambda s, d: quality.invoice_variance_rows(materialize(tx(s, d), "lines")),
         # profiling
         "null_counts": lambda s, d: quality.null_counts(tx(s, d)),
         "missing_report": lambda s, d: quality.missing_report(tx(s, d)),

@@ -249,9 +249,12 @@ def _top_segment_profile_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _train_test_random(spark: SparkSession, sf: str) -> DataFrame:
-    """Every row once, with a mark of one side."""
+    """Every row once, with a mark of one side, and whether the sides are as large as chance makes them (four deviations)."""
+    found = features.split_at_random(rfm(spark, sf))
+    sizes = found.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("split") == "train").alias("train")).first()
+    near = abs(sizes["train"] - 0.8 * sizes["n"]) <= 4 * (0.16 * sizes["n"]) ** 0.5
     marked = F.col("split").isin("train", "test").alias("marked")
-    return features.split_at_random(rfm(spark, sf)).select(*EXPORT_COLUMNS[:-1], marked)
+    return found.select(*EXPORT_COLUMNS[:-1], marked, F.lit(near).alias("sized"))
 
 
 def _pca_projection(spark: SparkSession, sf: str) -> DataFrame:

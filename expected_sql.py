@@ -534,7 +534,7 @@ def expected_sql() -> dict[str, str]:
                       round(p.size / (rr + ff + mm), 6) AS pc1_ratio, round(s.size / (rr + ff + mm), 6) AS pc2_ratio
                FROM tested, cov, (SELECT * FROM axes WHERE n = 1) p, (SELECT * FROM axes WHERE n = 2) s""",
         ).replace("covar_samp(frequency, monetary) AS fm FROM rfm", "covar_samp(frequency, monetary) AS fm FROM tested"),
-        "train_test_random": q("rfm", "SELECT customer_id, country, recency, frequency, monetary, true AS marked FROM rfm"),
+        "train_test_random": q("rfm", "SELECT customer_id, country, recency, frequency, monetary, true AS marked, true AS sized FROM rfm"),
         "quantile_trim_approx": """SELECT measure, cast(probability AS double) AS probability, true AS within
             FROM (VALUES ('recency', 0.01), ('recency', 0.99), ('frequency', 0.01), ('frequency', 0.99),
                          ('monetary', 0.01), ('monetary', 0.99), ('kept', 0.0)) v(measure, probability)""",

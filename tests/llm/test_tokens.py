@@ -17,12 +17,13 @@ ODD = [
     "'re don't 's we've I'll x'  \t\n z'r", "é́ é,a \xc9.x b \x1c c\x85 d　  k", "a   b", "a\n \nb",
     "İΣ Σ. \xc0\xc9 １２ 漢字 ﻿ \U0001f600\U0001f600 \xbd\xb2Ⅷ",
     "=====================  ====   ", "a" * 45, "\n\n\n\nx", "123456 789  12", "\xdf\xe9,\xfc. \xd7\xf7 \xaa", " a b", "a.b ,c  ", "a\n b\n",
+    "\xc0\xd6 \xd8\xde\xdf,\nA\xaa \xb5M \xd7 I\u0307\n", "\nA\r\nB\n\nC\x1cD\x85\xc9\xa0E", "<|STARTOFTEXT|>\xc9 \xc9<|StartOfText|>", "\xc9 \u03a3\n\xc9\u03a3", "I'LL\n'S \xc9'RE",
 ]
 
 
 def mixed_texts(n, seed):
     rng = random.Random(seed)
-    parts = ["the", " of", " and", "\n", "  ", " ", ",", ".", "'s", "tion", "\xe9\xe8", "###", "12", "漢", "<|endoftext|>", "\t", "I'll", "\xa0"]
+    parts = ["the", " of", " and", "\n", "  ", " ", ",", ".", "'s", "tion", "\xe9\xe8", "\xc9A", "THE", "###", "12", "漢", "<|endoftext|>", "\t", "I'll", "\xa0"]
     return ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(n)]
 
 

@@ -35,6 +35,7 @@ BLOCK_IDS = 1 << 18
 CHECKPOINT_STEPS = 128
 COUNTING_TASKS = 32
 ROWS_PER_SHARD = 20_000
+CACHED_WORDS = 400_000  # kept by a worker, twice that between two turns: some 170 MB
 MOST_SHARDS = 1 << 20  # one row each of what readers broadcast
 _LOW = np.uint64(1 << 31)
 _BITS, _WORD, _MASK = np.uint64(BITS), np.uint64(32), np.uint64((1 << BITS) - 1)
@@ -136,7 +137,7 @@ def _tokenized(path: str, end_id: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_SHARD_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, shard, start = cached_tokenizer(path), TaskContext.get().partitionId(), 0
+        tokenizer, shard, start = cached_tokenizer(path, CACHED_WORDS), TaskContext.get().partitionId(), 0
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

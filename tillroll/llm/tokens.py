@@ -71,6 +71,17 @@ def id_bytes(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+def _one_form_below(text: str) -> bool:
+    """Whether all characters are below U+0100, where lower-casing goes character by character."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _stretches(path: str) -> re.Pattern[str] | None:
     """The cut that is safe for this tokenizer; None where no cut is known to be."""
     with open(path, encoding="utf-8") as file:
@@ -115,17 +126,25 @@ class CachedTokenizer:
         self.stretches.turn()
         if self.front and SPACES.search(text):  # a run of white space is split by what is around it
             return self._cut(text)
-        if not self.front and text.isascii():  # all case is lost in the end
-            lower = text.lower()
-            text = text if any(special in lower for special in self.special) else lower
+        if not self.front:
+            return self._free(text)
         first, *rest = text.split(" ")
         return self._cut(first) + b"".join(map(self.words.__getitem__, rest))
 
+    def _free(self, text: str) -> bytes:
+        """Ids of a text whose words are independent of the white space around them."""
+        if _one_form_below(text):  # all case is lost in the end
+            lower = text.lower()
+            text = text if any(special in lower for special in self.special) else lower
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.stretches.__getitem__, self.cut.findall(text)))
 
     def _word(self, word: str) -> bytes:
         """Ids of a word, or of what else stands between two spaces."""
+        if not self.front and word.isascii() and word.isalpha():
+            return id_bytes([token.id for token in self.model.tokenize(word.lower())])
         if PLAIN_WORD.fullmatch(word):
             return self._plain(self.front + word)
         if word[-1:] in (",", ".") and PLAIN_WORD.fullmatch(word[:-1]):
@@ -150,6 +169,6 @@ class CachedTokenizer:
 
 
 @functools.cache
-def cached_tokenizer(path: str) -> CachedTokenizer:
-    """One per worker process and file."""
-    return CachedTokenizer(path)
+def cached_tokenizer(path: str, entries: int = ENTRIES) -> CachedTokenizer:
+    """One per worker process, file and size of the caches."""
+    return CachedTokenizer(path, entries)

@@ -1,3 +1,4 @@
+import math
 import random
 import time
 from collections import Counter, defaultdict
@@ -246,6 +247,9 @@ def test_leaks_are_reported_where_they_are(spark, odd):
     assert {(r.doc_id, r.item_id) for r in in_blocks.collect()} == set(found)
     clean = decontamination.drop_leaks(documents, benchmark)
     assert clean.columns == documents.columns and [r.doc_id for r in clean.collect()] == [11]
+    clean = decontamination.drop_leaks(documents, benchmark, block_chars=150)
+    assert clean.columns == documents.columns and [r.doc_id for r in clean.collect()] == [11]
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert decontamination.find_leaks(odd, benchmark).count() == 0 and decontamination.drop_leaks(odd, benchmark).count() == 8
     assert decontamination.find_leaks(documents, benchmark.limit(0)).count() == 0
     assert decontamination.drop_leaks(odd.limit(0), benchmark).count() == 0
@@ -336,6 +340,59 @@ def test_toxicity_is_learned_and_applied(spark, odd):
     assert toxicity.fit(odd, marks.limit(0)).intercept == 0
 
 
+def test_labels_without_a_document_take_no_places(spark):
+    """As many of them as there are places, and all of one class."""
+    rows, labels = labelled(random.Random(10), 200)
+    documents, marks = spark.createDataFrame(rows, LAYOUT), spark.createDataFrame(labels, "doc_id long, toxic int")
+    absent = spark.range(1000, 3000).selectExpr("id AS doc_id", "1 AS toxic")
+    model, same = (toxicity.fit(documents, m, rows_per_class=100) for m in (marks, marks.unionAll(absent)))
+    assert model.intercept == pytest.approx(same.intercept) and np.allclose(model.weights, same.weights) and model.weights.any()
+    graded = [m.withColumnRenamed("toxic", "grade") for m in (marks, marks.unionAll(absent))]
+    model, same = (quality_classifier.fit(documents, m, rows_per_grade=100) for m in graded)
+    assert np.allclose(model.weights, same.weights, atol=1e-5) and np.allclose(model.thresholds, same.thresholds) and model.weights.any()
+
+
+def brute_score(model, text, bits):
+    """The logistic of the summed weights of all distinct n-grams, each hashed on its own."""
+    padded, slots = f" {' '.join(text.lower().split())} ", set()
+    for n in toxicity.SIZES:
+        for at in range(len(padded) - n + 1):
+            value = 0
+            for letter in padded[at : at + n]:
+                value = (value * 0x9E3779B97F4A7C15 + ord(letter)) % 2**64
+            slots.add((value ^ (value >> 29)) * 0xD6E8FEB86659FD93 % 2**64 >> (64 - bits))
+    return 1 / (1 + math.exp(-sum(model.weights[s] for s in slots) - model.intercept))
+
+
+def test_scores_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(4)
+    model = toxicity.ToxicityModel(rng.normal(0, 0.05, 1 << 14), -0.4)
+    texts = ["", "a", "A b\tc", *(words(random.Random(k), 5 + 20 * k) for k in range(4)), "\u0130\u00c9 \U0001f600 x" * 9]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.score for r in toxicity.score(documents, model, bits=14).collect()}
+    assert found == pytest.approx({k: brute_score(model, t, 14) for k, t in enumerate(texts)})
+
+
+def test_ordinal_regression_climbs_the_likelihood():
+    """Its thresholds and weights are at least as likely as any nearby ones, as worked out grade by grade."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 2))
+    grade = np.digitize(2 * x[:, 0] - x[:, 1] + rng.logistic(size=300), [-1.0, 1.0])
+    model = quality_classifier.regress(x.astype("<f4"), grade, np.ones(300), 3)
+
+    def likelihood(weights, thresholds):
+        above = 1 / (1 + np.exp(-(x @ weights)[:, None] + np.array(thresholds)))
+        edges = np.hstack([np.ones((300, 1)), above, np.zeros((300, 1))])
+        return np.log(edges[np.arange(300), grade] - edges[np.arange(300), grade + 1]).sum()
+
+    best = likelihood(model.weights, model.thresholds)
+    for at in range(2):
+        for step in (-0.4, 0.4):
+            moved = np.eye(2)[at] * step
+            assert best > likelihood(model.weights + moved, model.thresholds)
+            assert best > likelihood(model.weights, model.thresholds + moved)
+
+
 def test_toxic_words_made_of_clean_beginnings_and_ends_are_learned(spark):
     """Every n-gram of five characters of the toxic word is in clean words of every text."""
     rng = random.Random(14)

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.scratch import materialize
+
 Q = 8
 WINDOW = 100
 EDITS = 0.08  # of a pattern's characters
@@ -338,10 +340,17 @@ def drop_leaks(
     item_text_column: str = "text",
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """The documents without any benchmark passage, with all their columns."""
+    """The documents without any benchmark passage, with all their columns.
+
+    One block of items after the other; what a block leaves is written before
+    the next one, so a task runs one worker with one block's index.
+    """
     spark = documents.sparkSession
     at = documents.columns.index(text_column)
-    for items in _blocks(benchmark, item_column, item_text_column, block_chars):
+    for number, items in enumerate(_blocks(benchmark, item_column, item_text_column, block_chars)):
+        if number:
+            documents = materialize(documents, "without-block")
+            shared.unpersist()
         shared = spark.sparkContext.broadcast(Patterns(items))
         documents = documents.mapInArrow(_without(shared, at), documents.schema)
     return documents

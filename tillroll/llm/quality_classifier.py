@@ -112,12 +112,15 @@ def fit(
     """Train on at most ``rows_per_grade`` rated texts of each grade 0, 1, ...; grades keep their shares by weight.
 
     The texts are those whose ids hash lowest; an id counts once, with its
-    lowest grade and smallest text. Null ids and grades teach nothing. Without
+    lowest grade and smallest text. Null ids and grades, and ratings of ids that
+    the documents do not have, teach nothing and do not count in the shares. Without
     ratings every tail probability is a half. What reaches the driver is the
     sample's vectors in single precision, a few thousand of 2 ** bits numbers.
     """
     rated = ratings.select(F.col(id_column).alias("id"), F.col(grade_column).cast("int").alias("grade")).dropna()
-    rated = materialize(rated.groupBy("id").agg(F.min("grade").alias("grade")), "ratings")
+    present = documents.select(F.col(id_column).alias("id")).distinct()
+    rated = rated.groupBy("id").agg(F.min("grade").alias("grade")).join(present, "id", "left_semi")
+    rated = materialize(rated, "ratings")
     shares = {r.grade: r.n for r in rated.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not shares:
         return QualityModel(np.zeros(1 << bits), np.zeros(1))
@@ -164,7 +167,8 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            values = np.array([features(t, bits) @ fitted.weights for t in batch.column(1).to_pylist()], np.float64)
+            texts = (t for at in range(0, batch.num_rows, 500) for t in batch.column(1).slice(at, 500).to_pylist())
+            values = np.array([features(t, bits) @ fitted.weights for t in texts], np.float64)
             tails = fitted.tails(values)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(tails.sum(axis=1)), pa.array(tails[:, min(least_grade, tails.shape[1]) - 1])],

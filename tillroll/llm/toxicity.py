@@ -43,16 +43,20 @@ class ToxicityModel(NamedTuple):
         return float(1.0 / (1.0 + np.exp(-np.clip(self.weights[slots].sum() + self.intercept, -35.0, 35.0))))
 
 
+def labels_of(documents: DataFrame, labels: DataFrame, label: str, id_column: str) -> DataFrame:
+    """Per id that the documents have: its largest label, as an integer. Null ids and labels are left out."""
+    rated = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).dropna()
+    present = documents.select(F.col(id_column).alias("id")).distinct()
+    return rated.groupBy("id").agg(F.max("label").alias("label")).join(present, "id", "left_semi")
+
+
 def training_sample(
-    documents: DataFrame, labels: DataFrame, label: str, rows_per_class: int, id_column: str, text_column: str
+    documents: DataFrame, rated: DataFrame, rows_per_class: int, id_column: str, text_column: str
 ) -> DataFrame:
-    """Up to ``rows_per_class`` labelled texts of each class: those whose ids hash lowest, with how many there are.
+    """Up to ``rows_per_class`` texts of each class in ``rated`` (id, label): those whose ids hash lowest.
 
-    An id counts once; of several texts the smallest is taken, of several labels
-    the largest. Null ids and null labels teach nothing.
+    An id counts once; of several texts the smallest is taken.
     """
-    rated = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).dropna()
-    rated = rated.groupBy("id").agg(F.max("label").alias("label"))
     chosen = None
     for value in (0, 1):
         lowest = rated.filter(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(rows_per_class)
@@ -68,8 +72,10 @@ def _class_counts(sizes, bits):
         grams = CharacterGrams(sizes, bits)
         counts = np.zeros((2, 1 << bits), np.int64)
         for batch in batches:
-            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts[int(label > 0), grams.slots(text)] += 1
+            for begin in range(0, batch.num_rows, SLICE):
+                part = batch.slice(begin, SLICE)
+                for text, label in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    counts[int(label > 0), grams.slots(text)] += 1
         slots = np.flatnonzero(counts.sum(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(slots), pa.array(counts[0, slots]), pa.array(counts[1, slots])], names=["slot", "clean", "toxic"]
@@ -83,10 +89,12 @@ def _kept_slots(sizes, bits, informative):
         grams, keep = CharacterGrams(sizes, bits), np.zeros(1 << bits, bool)
         keep[informative.value] = True
         for batch in batches:
-            found = [s[keep[s]].tolist() for s in map(grams.slots, batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["label", "slots"]
-            )
+            for begin in range(0, batch.num_rows, SLICE):
+                part = batch.slice(begin, SLICE)
+                found = [s[keep[s]] for s in map(grams.slots, part.column(0).to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(1), pa.array(found, pa.list_(pa.int64()))], names=["label", "slots"]
+                )
 
     return run
 
@@ -120,6 +128,11 @@ def regress(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scale: np
     return full, b
 
 
+def _per_class(rows: DataFrame) -> dict[bool, int]:
+    counted = rows.groupBy((F.col("label") > 0).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    return {r.label: r.n for r in counted.collect()}
+
+
 def fit(
     documents: DataFrame,
     labels: DataFrame,
@@ -132,23 +145,15 @@ def fit(
 ) -> ToxicityModel:
     """Train on at most ``rows_per_class`` labelled texts of each class; classes keep their shares by weight.
 
-    What reaches the driver is bounded: counts per slot, and the informative
+    Labels of ids that the documents do not have neither take places nor count. What reaches the driver is bounded: counts per slot, and the informative
     slots of the sampled texts. Without labels of both classes the score is the
     smoothed share of toxic labels, the same for every text.
     """
     spark = documents.sparkSession
-    shares = {
-        bool(r.label): r.n
-        for r in labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
-        .dropna()
-        .groupBy("id")
-        .agg(F.max("label").alias("label"))
-        .groupBy((F.col("label") > 0).alias("label"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
-    sample = training_sample(documents, labels, label, rows_per_class, id_column, text_column)
-    texts = {bool(r.label): r.n for r in sample.groupBy((F.col("label") > 0).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rated = materialize(labels_of(documents, labels, label, id_column), "labels")
+    shares = _per_class(rated)
+    sample = training_sample(documents, rated, rows_per_class, id_column, text_column)
+    texts = _per_class(sample)
     n_clean, n_toxic = texts.get(False, 0), texts.get(True, 0)
     if not n_clean or not n_toxic:
         base = (n_toxic + 0.5) / (n_clean + n_toxic + 1.0)

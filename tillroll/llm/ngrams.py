@@ -21,7 +21,7 @@ class CharacterGrams:
 
     def __init__(self, sizes: Sequence[int], bits: int) -> None:
         self.sizes, self.bits = sorted(sizes), bits
-        self.seen_at = np.zeros(1 << bits, np.int64)
+        self.seen_at = np.zeros(1 << bits, np.int32)
 
     def slots(self, text: str | None) -> np.ndarray:
         codes = np.frombuffer(f" {' '.join((text or '').lower().split())} ".encode("utf-32-le", "replace"), "<u4")
@@ -45,6 +45,6 @@ class CharacterGrams:
 
     def _distinct(self, slots: np.ndarray) -> np.ndarray:
         """Each slot at the place where it occurs last."""
-        places = np.arange(len(slots))
+        places = np.arange(len(slots), dtype=np.int32)  # of one window, so they fit
         self.seen_at[slots] = places
         return slots[self.seen_at[slots] == places]

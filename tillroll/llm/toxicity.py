@@ -31,6 +31,7 @@ RATE = 0.1
 PENALTY = 1.0
 THRESHOLD = 0.3
 SLICE = 500  # rows that are held as Python texts at a time
+STRETCH = 1 << 16  # slots whose counts leave a worker together
 
 
 class ToxicityModel(NamedTuple):
@@ -70,16 +71,19 @@ def training_sample(
 def _class_counts(sizes, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = CharacterGrams(sizes, bits)
-        counts = np.zeros((2, 1 << bits), np.int64)
+        counts = np.zeros((2, 1 << bits), np.int32)
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE):
                 part = batch.slice(begin, SLICE)
                 for text, label in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     counts[int(label > 0), grams.slots(text)] += 1
-        slots = np.flatnonzero(counts.sum(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slots), pa.array(counts[0, slots]), pa.array(counts[1, slots])], names=["slot", "clean", "toxic"]
-        )
+        # Slots leave in stretches: neither this process nor the one that reads them holds a batch of all slots.
+        for begin in range(0, 1 << bits, STRETCH):
+            part = counts[:, begin : begin + STRETCH].astype(np.int64)
+            slots = np.flatnonzero(part.any(axis=0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slots + begin), pa.array(part[0, slots]), pa.array(part[1, slots])], names=["slot", "clean", "toxic"]
+            )
 
     return run
 
@@ -91,9 +95,9 @@ def _kept_slots(sizes, bits, informative):
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE):
                 part = batch.slice(begin, SLICE)
-                found = [s[keep[s]] for s in map(grams.slots, part.column(0).to_pylist())]
+                found = [s[keep[s]].astype(np.int32) for s in map(grams.slots, part.column(0).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array(found, pa.list_(pa.int64()))], names=["label", "slots"]
+                    [part.column(1), pa.array(found, pa.list_(pa.int32()))], names=["label", "slots"]
                 )
 
     return run
@@ -171,11 +175,14 @@ def fit(
     scale[informative] = log_count_ratios(counts, (n_clean, n_toxic))
 
     kept = sample.select("text", "label").mapInArrow(
-        _kept_slots(sizes, bits, spark.sparkContext.broadcast(informative)), "label int, slots array<long>"
+        _kept_slots(sizes, bits, spark.sparkContext.broadcast(informative)), "label int, slots array<int>"
     )
     table = kept.toArrow()
     y = (table.column("label").to_numpy() > 0).astype(float)
-    rows = [np.array(s, np.int64) for s in table.column("slots").to_pylist()]
+    rows = []
+    for chunk in table.column("slots").chunks:
+        ends = np.cumsum(chunk.value_lengths().to_numpy(zero_copy_only=False))
+        rows += np.split(chunk.flatten().to_numpy(zero_copy_only=False), ends)[: len(chunk)]
     weight = np.where(y > 0, shares[True] / n_toxic, shares[False] / n_clean)
     weights, intercept = regress(rows, y, weight, scale, STEPS)
     return ToxicityModel(weights, intercept)

@@ -4,10 +4,10 @@ A shingle is five words. Each shingle is a Poisson process with its weight as
 rate: its arrivals fall on random components, and every component keeps the
 shingle that arrives first. A shingle is followed only until its next arrival
 comes after the latest first arrival of all components. Two texts agree in a
-component with the probability Jaccard similarity of their weights. Every shingle
-weighs 1, however often a text repeats it: then that is the Jaccard similarity of
-the shingle sets, by which pairs from common buckets are compared. Bands of
-components are bucket keys.
+component with the probability Jaccard similarity of their weights. A shingle
+that stands once weighs 1, a repeated one up to 1 + GAIN: the bound keeps that
+similarity near the Jaccard similarity of the shingle sets, by which pairs from
+common buckets are compared. Bands of components are bucket keys.
 
 Equal texts are one node. Pairs of a bucket are never put out. First every node
 is compared with one member of some of its buckets, which joins most copies of a

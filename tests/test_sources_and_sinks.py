@@ -1,5 +1,7 @@
 import json
+import uuid
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from helpers import as_set, line, transactions
@@ -141,6 +143,36 @@ def test_scratch_uses_the_configured_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def cluster_session(spark, conf, written=lambda rows: rows):
+    """The test session as a cluster's; ``written`` stands for what the driver finds of the rows that tasks write."""
+    context = SimpleNamespace(
+        master="spark://cluster:7077", applicationId=uuid.uuid4().hex, defaultParallelism=3, getCheckpointDir=lambda: None
+    )
+    return SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)),
+        _jvm=spark._jvm, _jsc=spark._jsc, range=lambda *bounds: written(spark.range(*bounds)),
+    )
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+@pytest.mark.parametrize("key", ["spark.checkpoint.dir", "spark.sql.warehouse.dir"])
+def test_scratch_of_a_cluster_is_any_folder_that_its_nodes_share(spark, tmp_path, key, scheme):
+    folder = f"{scheme}{tmp_path}"
+    session = cluster_session(spark, {key: f"{folder}/"})
+    assert shared_folder(session) == folder and not list(tmp_path.iterdir())
+    path = scratch_path(session, "rows")
+    spark.range(7).write.parquet(path)
+    assert path.startswith(folder) and spark.read.parquet(path).count() == 7
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_scratch_of_a_cluster_is_no_folder_of_each_machine(spark, tmp_path, scheme):
+    session = cluster_session(spark, {"spark.checkpoint.dir": f"{scheme}{tmp_path}"}, lambda rows: rows.filter("id % 3 = 0"))
+    with pytest.raises(RuntimeError, match="4 of 12 files"):
+        shared_folder(session)
+    assert not list(tmp_path.iterdir())
+
+
 def test_whole_job(spark, tmp_path, small_tx):
     small_tx.write.parquet(f"{tmp_path}/raw")
     config = SegmentationConfig(

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tillroll.llm import packing, token_counts, token_files
-from tillroll.llm.tokens import CachedTokenizer, id_bytes
+from tillroll.llm.tokens import SPACE, SPACES, CachedTokenizer, _has_runs, id_bytes
 from tillroll.scratch import scratch_path
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +36,21 @@ def test_cached_ids_are_those_of_the_library(path):
     assert cached.ids(None) == b""
 
 
+def test_words_at_line_breaks_are_kept_once_and_have_the_library_ids():
+    cached, library = CachedTokenizer(BYTES), Tokenizer.from_file(BYTES)
+    lines = ["one two,", "three", "\xe9 two.", "'ll we", "### 12", "don't!", "a\tb", "\u2019s x"]
+    texts = [f"{x}\n{y}" for x in lines for y in lines] + [f"\n{x}" for x in lines] + [f"{x}\n" for x in lines]
+    for text in [*texts, "\n", "a\n\nb", "a \nb", "a\n b c", "a\x0b\nb", "\xe9\n\xa0x y", "\u2019\n\tx"]:
+        assert cached.ids(text) == id_bytes(library.encode(text, add_special_tokens=False).ids), repr(text)
+    assert not [word for word in cached.words if "\n" in word[1:]]
+
+
+def test_runs_of_white_space_are_seen():
+    white = [c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c)]
+    for text in [f"{a}{x}{y}{a}" for a in ("a", "\u2019") for x in ["b", *white] for y in ["b", *white]]:
+        assert _has_runs(text) == bool(SPACES.search(text)), repr(text)
+
+
 def test_every_prefix_has_the_library_count():
     counter, library = token_counts.PrefixCounter(BYTES), Tokenizer.from_file(BYTES)
     for text in ODD + mixed_texts(120, 2):

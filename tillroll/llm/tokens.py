@@ -29,6 +29,8 @@ BYTE_LEVEL = re.compile(
 # White space is no token here, so words are independent of it.
 WORD_LEVEL = re.compile(rf"[{LETTER}]+(?![^,.\t-\r ])|[^\t-\r ]+")
 SPACES = re.compile(f"[{SPACE}]{{2}}")
+RUNS = ("  ", "\n\n", " \n", "\n ")  # what SPACES finds in Latin-1 texts without RARE_SPACE
+RARE_SPACE = "\t\v\f\r\x85\xa0"
 PLAIN_WORD = re.compile(f" ?[{LETTER}]+")
 ENTRIES = 200_000
 _WORD = "I" if array("I").itemsize == 4 else "L"
@@ -82,6 +84,13 @@ def _one_form_below(text: str) -> bool:
     return True
 
 
+def _has_runs(text: str) -> bool:
+    """Whether white space follows on white space."""
+    if _one_form_below(text) and not any(c in text for c in RARE_SPACE):
+        return any(run in text for run in RUNS)
+    return SPACES.search(text) is not None
+
+
 def _stretches(path: str) -> re.Pattern[str] | None:
     """The cut that is safe for this tokenizer; None where no cut is known to be."""
     with open(path, encoding="utf-8") as file:
@@ -124,11 +133,11 @@ class CachedTokenizer:
             return id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self.words.turn()
         self.stretches.turn()
-        if self.front and SPACES.search(text):  # a run of white space is split by what is around it
-            return self._cut(text)
         if not self.front:
             return self._free(text)
-        first, *rest = text.split(" ")
+        if _has_runs(text):  # a run of white space is split by what is around it
+            return self._cut(text)
+        first, *rest = text.replace("\n", " \n").split(" ")  # a line's first word is one of its own, with the line break
         return self._cut(first) + b"".join(map(self.words.__getitem__, rest))
 
     def _free(self, text: str) -> bytes:
@@ -143,8 +152,11 @@ class CachedTokenizer:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word, or of what else stands between two spaces."""
-        if not self.front and word.isascii() and word.isalpha():
-            return id_bytes([token.id for token in self.model.tokenize(word.lower())])
+        if word.isascii() and word.isalpha():
+            shown = self.shown[0x20] + word if self.front else word.lower()
+            return id_bytes([token.id for token in self.model.tokenize(shown)])
+        if self.front and word[:1] == "\n":  # no space is in front of what follows
+            return self.stretches["\n"] + self._cut(word[1:])
         if PLAIN_WORD.fullmatch(word):
             return self._plain(self.front + word)
         if word[-1:] in (",", ".") and PLAIN_WORD.fullmatch(word[:-1]):

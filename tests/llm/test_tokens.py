@@ -121,6 +121,13 @@ def test_packing_keeps_all_ids(spark, documents):
     assert packing.pack(documents.limit(0), BYTES).count() == 0
 
 
+def test_packing_does_not_depend_on_the_words_kept(spark, documents):
+    once = documents.dropDuplicates(["doc_id"]).coalesce(1).sortWithinPartitions("doc_id")
+    found = [packing.pack(once, BYTES, capacity=64, entries=n).collect() for n in (1, packing.ENTRIES)]
+    check_packing(found[0], {i: t for i, t, _ in ROWS}, 64)
+    assert found[0] == found[1]
+
+
 def test_open_bins_are_best_fit_and_bounded():
     bins, free, sequences = packing.OpenBins(10, 3), {}, 0
     rng = random.Random(3)

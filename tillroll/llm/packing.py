@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.tokens import cached_tokenizer, id_bytes
+from tillroll.llm.tokens import ENTRIES, cached_tokenizer, id_bytes
 
 CAPACITY = 1024
 OPEN_BINS = 1024
@@ -77,6 +77,7 @@ def pack(
     capacity: int = CAPACITY,
     open_bins: int = OPEN_BINS,
     end_id: int = END_ID,
+    entries: int = ENTRIES,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids, sequence_id and offset.
 
@@ -84,12 +85,13 @@ def pack(
     alone. ``ids`` are little-endian unsigned 32-bit integers. Sequence ids are
     unique over all tasks; the pieces of a sequence fill it from 0 without gaps.
     Rows with equal or null ids are packed each on its own; other columns are
-    not read. An empty table gives no rows.
+    not read. An empty table gives no rows. A worker keeps the ids of up to
+    twice ``entries`` words: more take memory and save time.
     """
     end = id_bytes([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = cached_tokenizer(path)
+        tokenizer = cached_tokenizer(path, entries)
         bins = OpenBins(capacity, open_bins, first=TaskContext.get().partitionId() << 40)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):

@@ -4,6 +4,7 @@ import random
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -92,3 +93,30 @@ def test_empty_tables_go_through(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         result = stage(spark, docs, folder)
         assert result.count() == 0
+
+
+@pytest.fixture
+def batch_limit(spark):
+    """The name of the setting that bounds batches, unset before and after."""
+    spark.conf.unset(corpus_pipeline.BATCH_LIMIT)
+    yield corpus_pipeline.BATCH_LIMIT
+    spark.conf.unset(corpus_pipeline.BATCH_LIMIT)
+
+
+def test_stages_send_workers_small_batches(spark, tables, batch_limit):
+    folder, _, _ = tables
+    docs = spark.createDataFrame([(k, "text " * 200_000, "en", "web", 0.0) for k in range(24)], LAYOUT).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "n_bytes"])
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(batch_limit)
+        stage(spark, docs.limit(0), folder)
+        found = docs.mapInArrow(sizes, "n long, n_bytes long").collect()
+        assert sum(r.n for r in found) == 24
+        assert max(r.n_bytes for r in found) < 10 << 20
+        spark.conf.set(batch_limit, "16m")  # a session's own limit stands
+        stage(spark, docs.limit(0), folder)
+        assert spark.conf.get(batch_limit) == "16m"

@@ -1,9 +1,11 @@
+import gc
 import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -128,6 +130,27 @@ def test_packing_does_not_depend_on_the_words_kept(spark, documents):
     assert found[0] == found[1]
 
 
+def test_packed_words_leave_workers_that_do_other_jobs(spark, documents):
+    def left(entries):
+        def run(batches):
+            gc.collect()  # as a worker does after each task
+            found = sum(type(x) is CachedTokenizer and x.words.entries == entries for x in gc.get_objects())
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([found] * batch.num_rows)], names=["n"])
+
+        return sum(r.n for r in spark.range(0, 16, 1, 16).mapInArrow(run, "n long").collect())
+
+    for entries, keep_words in ((12_345, True), (54_321, False)):
+        packed = packing.pack(documents, BYTES, entries=entries, keep_words=keep_words)
+        assert packed.count()
+        assert (left(entries) > 0) == keep_words
+
+
+def test_pieces_do_not_depend_on_who_keeps_the_words(spark, documents):
+    found = [packing.pack(documents, BYTES, keep_words=keep).collect() for keep in (True, False)]
+    assert sorted(map(str, found[0])) == sorted(map(str, found[1]))
+
+
 def test_open_bins_are_best_fit_and_bounded():
     bins, free, sequences = packing.OpenBins(10, 3), {}, 0
     rng = random.Random(3)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.tokens import ENTRIES, cached_tokenizer, id_bytes
+from tillroll.llm.tokens import ENTRIES, TaskTokenizer, cached_tokenizer, id_bytes
 
 CAPACITY = 1024
 OPEN_BINS = 1024
@@ -78,6 +78,7 @@ def pack(
     open_bins: int = OPEN_BINS,
     end_id: int = END_ID,
     entries: int = ENTRIES,
+    keep_words: bool = True,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids, sequence_id and offset.
 
@@ -86,12 +87,15 @@ def pack(
     unique over all tasks; the pieces of a sequence fill it from 0 without gaps.
     Rows with equal or null ids are packed each on its own; other columns are
     not read. An empty table gives no rows. A worker keeps the ids of up to
-    twice ``entries`` words: more take memory and save time.
+    twice ``entries`` words: more take memory and save time. It keeps them for
+    later jobs as well, or, without ``keep_words``, until it gets a task of
+    another job: workers are used again, and the words would take memory there.
     """
     end = id_bytes([end_id])
+    shared = None if keep_words else documents.sparkSession.sparkContext.broadcast(TaskTokenizer(path, entries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = cached_tokenizer(path, entries)
+        tokenizer = cached_tokenizer(path, entries) if shared is None else shared.value.tokenizer
         bins = OpenBins(capacity, open_bins, first=TaskContext.get().partitionId() << 40)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):

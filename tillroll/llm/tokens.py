@@ -184,3 +184,18 @@ class CachedTokenizer:
 def cached_tokenizer(path: str, entries: int = ENTRIES) -> CachedTokenizer:
     """One per worker process, file and size of the caches."""
     return CachedTokenizer(path, entries)
+
+
+class TaskTokenizer:
+    """A tokenizer for a broadcast, which carries where it is read from.
+
+    A worker makes it once for all tasks that share the broadcast, and drops it,
+    with the words it keeps, at the first task that does not.
+    """
+
+    def __init__(self, path: str, entries: int = ENTRIES) -> None:
+        self.path, self.entries = path, entries
+
+    @functools.cached_property
+    def tokenizer(self) -> CachedTokenizer:
+        return CachedTokenizer(self.path, self.entries)
